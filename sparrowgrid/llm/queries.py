@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, fingerprint, language, licenses, quality
 
 
 def bpe_path() -> str:
@@ -23,7 +24,34 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), bpe_path())
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_bpe": op1_bpe}
+def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_neighbours(documents(spark, sf_dir))
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.classify(documents(spark, sf_dir), labels(spark, sf_dir), keep=["doc_id"])
+    return scored.select("doc_id", quality.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted")
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir), keep=["doc_id"])
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.learn_and_identify(documents(spark, sf_dir))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
+    "op3_fingerprint": op3_fingerprint,
+    "op6_quality": op6_quality,
+    "op9_licenses": op9_licenses,
+    "op10_language": op10_language,
+}
 
 #: DuckDB SQL for those that SQL can express.
 ORACLE: dict[str, str] = {}
