@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, language, licenses, quality
+from . import bpe, decontaminate, fingerprint, language, licenses, quality, toxicity, warc
 
 
 def bpe_path() -> str:
@@ -37,6 +37,20 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.classify(documents(spark, sf_dir), labels(spark, sf_dir), keep=["doc_id"])
+    return scored.select("doc_id", quality.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted")
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return warc.audited(pages, warc.decayed(pages))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir), keep=["doc_id"])
 
@@ -48,10 +62,28 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_fingerprint": op3_fingerprint,
+    "op5_decontaminate": op5_decontaminate,
     "op6_quality": op6_quality,
+    "op7_toxicity": op7_toxicity,
+    "op8_warc": op8_warc,
     "op9_licenses": op9_licenses,
     "op10_language": op10_language,
 }
 
 #: DuckDB SQL for those that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_warc": r"""
+        WITH laid AS (
+            SELECT page_id, coalesce(CAST(floor(page_id / 1000) AS BIGINT), -1) AS archive, coalesce(html, '') AS html,
+                'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+                || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
+            FROM pages
+        ), hashed AS (SELECT page_id, archive, html, strlen(record) AS size, sha256(record) AS digest FROM laid)
+        SELECT page_id, archive,
+            row_number() OVER (PARTITION BY archive ORDER BY page_id, digest) - 1 AS seq,
+            CAST(sum(size) OVER (PARTITION BY archive ORDER BY page_id, digest ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS "begin",
+            CAST(sum(size) OVER (PARTITION BY archive ORDER BY page_id, digest ROWS UNBOUNDED PRECEDING) AS BIGINT) AS "end",
+            digest, NOT (html <> '' AND left(sha256(html), 1) = '0') AS intact
+        FROM hashed
+    """,
+}
