@@ -57,18 +57,20 @@ def neighbours(docs: DataFrame) -> DataFrame:
 
 
 def edited(docs: DataFrame, ring: DataFrame) -> DataFrame:
-    """doc_id, row, first, text, edited, pred_id: the last half of each text replaced by the start of the next document."""
+    """doc_id, row, first, text, edited, pred_id: the last half of each text replaced by the start of the next document.
+
+    docs holds no null doc_id; so both joins read one and the same exchange of the texts.
+    """
     by_id = Window.partitionBy("doc_id").orderBy("text")
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select(
-        "doc_id", "text", F.row_number().over(by_id).alias("row"), F.lag(F.lit(1)).over(by_id).isNull().alias("first")
-    )
+    rows = docs.select("doc_id", "text", F.row_number().over(by_id).alias("row"), F.lag(F.lit(1)).over(by_id).isNull().alias("first"))
     lent = rows.filter("first").select(F.col("doc_id").alias("next_id"), F.col("text").alias("lent"))
     lent = ring.join(lent, "next_id").select("doc_id", "pred_id", F.expr("substring(lent, 1, cast(longest div 2 as int))").alias("lent"))
+    return rows.join(lent, "doc_id", "left").select("doc_id", "row", "first", "text", "pred_id", _swapped(F.coalesce("lent", F.lit(""))).alias("edited"))
+
+
+def _swapped(lent: Column) -> Column:
     half = F.expr("cast(length(text) div 2 as int)")
-    return rows.join(lent, "doc_id", "left").select(
-        "doc_id", "row", "first", "text", "pred_id",
-        F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.coalesce(F.substring("lent", F.lit(1), half), F.lit(""))).alias("edited"),
-    )
+    return F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring(lent, F.lit(1), half))
 
 
 def fingerprints(df: DataFrame, keys: list[str], text: str) -> DataFrame:
@@ -114,25 +116,33 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a["sums"] == b["sums"], F.lit(1.0)).when(norm > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), dot / norm))).otherwise(F.lit(0.0))
 
 
-def compare_neighbours(docs: DataFrame) -> DataFrame:
-    """Per row of docs: n_chars, edited_sha256, both fingerprints and how alike its fingerprint is to the edited and the next text's."""
-    ring = neighbours(docs)
-    rows = edited(docs, ring)
+def _both(rows: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Fingerprints fp of text and edited_fp of edited for each row of ``edited``, and the names of the columns that go along."""
     # An explicit pair of rows keeps one pass over the joined texts; sha2 is taken before the texts are cut up.
     both = rows.select("doc_id", "row", "first", "pred_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
                        F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("text").alias("body")), F.struct(F.lit(1).alias("side"), F.col("edited").alias("body")))).alias("one"))
     keys = ["doc_id", "row", "first", "pred_id", "n_chars", "edited_sha256"]
     found = fingerprints(both.select(*keys, "one.side", "one.body"), [*keys, "side"], "body")
     pick = lambda side: F.max(F.when(F.col("side") == side, F.col("fingerprint")))
-    own = found.groupBy(*keys).agg(pick(0).alias("fp"), pick(1).alias("edited_fp"))
+    return found.groupBy(*keys).agg(pick(0).alias("fp"), pick(1).alias("edited_fp")), keys
+
+
+def compare_neighbours(docs: DataFrame) -> DataFrame:
+    """Per row of docs: n_chars, edited_sha256, both fingerprints and how alike its fingerprint is to the edited and the next text's."""
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    known = texts.filter(F.col("doc_id").isNotNull())
+    own, keys = _both(edited(known, neighbours(known)))
     # Each first row also sends its fingerprint to the row before it in the ring.
     sent = own.select(*keys, F.explode(F.array(
         F.struct(F.col("doc_id").alias("to"), F.lit(True).alias("mine"), F.col("fp"), F.col("edited_fp")),
         F.struct(F.when(F.col("first"), F.col("pred_id")).alias("to"), F.lit(False).alias("mine"), F.col("fp"), F.lit(None).cast(own.schema["edited_fp"].dataType).alias("edited_fp")),
     )).alias("x")).filter("x.mine or x.to is not null")
-    met = sent.select("doc_id", "n_chars", "edited_sha256", "x.*").withColumn("next_fp", F.max(F.when(~F.col("mine"), F.col("fp"))).over(Window.partitionBy("to")))
+    met = sent.select("doc_id", "n_chars", "edited_sha256", "x.*").withColumn("next_fp", F.max(F.when(~F.col("mine"), F.col("fp"))).over(Window.partitionBy("to"))).filter("mine")
+    # Rows without doc_id are not dealt out by it.
+    lone = texts.filter(F.col("doc_id").isNull()).select("doc_id", F.monotonically_increasing_id().alias("row"), F.lit(False).alias("first"), "text", F.lit(None).cast(docs.schema["doc_id"].dataType).alias("pred_id"), _swapped(F.lit("")).alias("edited"))
+    lone = _both(lone)[0].withColumn("next_fp", F.lit(None).cast(own.schema["fp"].dataType))
     fp, efp = F.col("fp"), F.col("edited_fp")
-    return met.filter("mine").select(
+    return met.select("doc_id", "n_chars", "edited_sha256", "fp", "edited_fp", "next_fp").union(lone.select("doc_id", "n_chars", "edited_sha256", "fp", "edited_fp", "next_fp")).select(
         "doc_id", "n_chars", "edited_sha256", to_text(fp).alias("fingerprint"), to_text(efp).alias("edited_fingerprint"),
         likeness(fp, efp).alias("near_edited"), F.coalesce(likeness(fp, F.col("next_fp")), F.lit(0.0)).alias("near_next"),
     )
