@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, fingerprint, language, licenses, quality, toxicity, warc
+from . import bpe, decontaminate, fingerprint, language, licenses, ngram_join, quality, toxicity, warc
 
 
 def bpe_path() -> str:
@@ -24,6 +24,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), bpe_path())
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(documents(spark, sf_dir))
+
+
 def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_neighbours(documents(spark, sf_dir))
 
@@ -61,6 +65,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_ngram_join": op2_ngram_join,
     "op3_fingerprint": op3_fingerprint,
     "op5_decontaminate": op5_decontaminate,
     "op6_quality": op6_quality,

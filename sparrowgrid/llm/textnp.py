@@ -119,5 +119,5 @@ def shingles(hashes: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray,
     result[~short] = full[first[~short]]
     for i in np.flatnonzero((count > 0) & (count < n)):
         w = hashes[rows[i] : rows[i + 1]]
-        result[offsets[i]] = mix(np.array([(w * PLACE[: len(w)]).sum() + PLACE[40 + len(w)]], np.uint64))[0]
+        result[offsets[i]] = mix(PLACE[40 + len(w) : 41 + len(w)] + (w * PLACE[: len(w)]).sum(dtype=np.uint64))[0]
     return result, offsets
