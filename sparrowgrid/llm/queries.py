@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, fingerprint, language, licenses, ngram_join, quality, toxicity, warc
+from . import bpe, decontaminate, fingerprint, language, licenses, line_dedup, ngram_join, quality, toxicity, warc
 
 
 def bpe_path() -> str:
@@ -41,6 +41,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(documents(spark, sf_dir))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_ngram_join": op2_ngram_join,
     "op3_fingerprint": op3_fingerprint,
+    "op4_line_dedup": op4_line_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
