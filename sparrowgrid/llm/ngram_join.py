@@ -10,8 +10,8 @@ index shows (``kept``), each set leaves out its most frequent signatures, as man
 the rarest is spared by neither, so no pair is lost, and common passages cost little.
 
 Sets that share signatures are gathered under the set that they meet most; those groups are verified in blocks by exact intersection counts (a product
-of incidence matrices), so that copies are never written out as pairs. Pairs across groups go through size and histogram bounds first, and
-are then verified likewise. Equal sets are one node throughout. Links are reduced to components in Spark.
+of incidence matrices), so that copies are never written out as pairs. Where a pair across two groups passes the bounds of size and histogram, the
+groups are verified together. Equal sets are one node throughout. Links are reduced to components in Spark.
 
 Edge cases: null, empty or wordless texts have no shingles and link with nothing; fewer words than n are one shingle of the whole sequence;
 repeated rows and texts are one node and share a component; a null doc_id is carried along, and is no component's id.
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
+from .shared import ready
 from .textnp import PLACE, mix, shingles, slices, words
 
 N = 5
@@ -61,8 +62,8 @@ def design(band: int) -> tuple[int, int, int]:
     size = max(1.0, float(BANDS[band]))
     plain = need + int((need - 1) * SPARE) + (need > 1)
     wide = -(-need // 2)
-    # Signatures of a set, and chance matches among a million sets in which a shingle is met by one set in a thousand.
-    cost = lambda signatures, segments, kept: signatures + segments * 1e6 * 1e-3 ** max(kept, 0.0)
+    # Signatures of a set, and chance matches among a million sets in which a shingle is met by one set in ten thousand.
+    cost = lambda signatures, segments, kept: signatures + segments * 1e6 * 1e-4 ** max(kept, 0.0)
     if cost(wide + size, wide, size / wide - 1) < cost(plain, plain, size / plain):
         return need, wide, 1
     return need, plain, 0
@@ -312,7 +313,7 @@ def _allocated(buckets: int):
 
 
 def _meet(table):
-    """By signature again: (main, node, 0) for each node, and (a, b, 1) for pairs across groups within the bounds of size and histogram."""
+    """By signature again: (main, node, 0) for each node, and (a, b, 1) for groups with a pair across them within the bounds of size and histogram."""
     import pyarrow as pa
 
     kind, blobs = table.column("kind").to_pylist(), table.column("blob").to_pylist()
@@ -345,9 +346,10 @@ def _meet(table):
                 near = [np.abs(hist[i[c : c + 65536]] - hist[j[c : c + 65536]]).sum(axis=1) <= distance(size[i[c : c + 65536]] + size[j[c : c + 65536]]) for c in range(0, len(i), 65536)]
                 if near:
                     near = np.concatenate(near)
-                    parts.append(np.stack([np.minimum(node[i[near]], node[j[near]]), np.maximum(node[i[near]], node[j[near]])], axis=1))
+                    i, j = group[i[near]], group[j[near]]
+                    parts.append(np.unique(np.stack([np.minimum(i, j), np.maximum(i, j)], axis=1), axis=0))
                     waiting += len(parts[-1])
-            if waiting > 1 << 20:
+            if waiting > 1 << 18:
                 parts, waiting = [np.unique(np.concatenate(parts), axis=0)], 0
         if parts:
             found = np.unique(np.concatenate(parts), axis=0)
@@ -411,20 +413,21 @@ def _verify(table):
 
 
 def bucket_count(docs: DataFrame) -> int:
-    """One bucket for every 20 MB that the planner expects of the input, 12 at least."""
+    """One bucket for every 14 MB that the planner expects of the input, 12 at least."""
     size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return min(1 << 20, max(12, math.ceil(size / 20e6)))
+    return min(1 << 20, max(12, math.ceil(size / 14e6)))
 
 
 def components(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs."""
+    ready(docs.sparkSession)
     buckets = bucket_count(docs)
     named = nodes(docs, text).checkpoint()
     shared = _index(docs, text, buckets).groupBy("bucket").applyInArrow(_shared(buckets), SCHEMA)
     met = shared.groupBy("bucket").applyInArrow(_allocated(buckets), SCHEMA).groupBy("bucket").applyInArrow(_meet, "a long, b long, kind int").distinct().checkpoint()
-    # Groups: nodes of one main node; and each pair across groups.
-    pair = F.xxhash64("a", "b").alias("key")
-    members = met.filter("kind = 0").select(F.col("a").alias("key"), F.col("b").alias("node")).unionAll(met.filter("kind = 1").select(pair, F.explode(F.array("a", "b")).alias("node"))).distinct()
+    # Groups: nodes of one main node, and groups that a candidate pair connects.
+    joint = connected_components(met.filter("kind = 1").select("a", "b")).select(F.col("node").alias("main"), F.col("component").alias("joint"))
+    members = met.filter("kind = 0").select(F.col("a").alias("main"), F.col("b").alias("node")).join(joint, "main", "left").select(F.coalesce("joint", "main").alias("key"), "node").distinct()
     members = members.withColumns({"rank": F.row_number().over(Window.partitionBy("key").orderBy("node")) - 1, "of": F.count("*").over(Window.partitionBy("key"))}).filter("of > 1")
     least = named.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     # A group of several blocks is verified block by block, each pair of blocks in a task of its own.
