@@ -24,6 +24,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import ready
+
 #: 64-bit hashes a paragraph; each gives two lanes of 32 bits.
 SEEDS = 6
 LANES = 64
@@ -40,7 +42,7 @@ def neighbours(docs: DataFrame) -> DataFrame:
     Ids are dealt into ranges; a window within each range finds all neighbours but those across the ranges' ends,
     which come from a table of one row a range.
     """
-    spark = docs.sparkSession
+    spark = ready(docs.sparkSession)
     ids = docs.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(F.length("text")).alias("longest"))
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = ids.repartitionByRange(ranges, "doc_id").withColumn("part", F.spark_partition_id()).checkpoint()

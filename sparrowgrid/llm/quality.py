@@ -149,29 +149,43 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % parts == part, F.lit(False))
 
 
-def train(features: DataFrame, labels: DataFrame, label: str, most: int = TRAIN_ROWS) -> Trees:
-    """Fit on labelled rows outside the held-out fifth: the ``most`` of the smallest hashed doc_id."""
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text", most: int = TRAIN_ROWS) -> Trees:
+    """Fit on labelled rows outside the held-out fifth: the ``most`` of the smallest hashed doc_id. Only their texts are measured."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id"), 5, 0))
     known = known.groupBy("doc_id").agg(F.min(label).cast("double").alias("_y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = features.join(known, "doc_id").select("doc_id", "features", "_y").orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(most).toPandas()
+    # At most `most` rows of two numbers are sent along.
+    sample = docs.select("doc_id", text).join(F.broadcast(known), "doc_id")
+    rows = statistics(sample, text, ["doc_id", "_y"]).orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(most).toPandas()
     x = np.array(rows["features"].tolist(), float).reshape(len(rows), len(FEATURES))
     return fit(x, rows["_y"].to_numpy(float))
 
 
 def classify(df: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text", threshold: float = 0.3, most: int = TRAIN_ROWS, keep: list[str] | None = None) -> DataFrame:
-    """df's columns (or those of keep) and ``score``, ``predicted``; the texts are read once, and only their statistics are kept."""
-    names = [c for c in (df.columns if keep is None else keep) if c not in ("score", "predicted", "features")]
-    stats = statistics(df, text, names).checkpoint()
-    model = train(stats, labels, label, most)
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in stats.select(*names).dtypes), "score double", "predicted int"])
+    """df's columns (or those of keep) and ``score``, ``predicted``; beyond the training rows each text is measured once and not shuffled."""
+    names = [c for c in (df.columns if keep is None else keep) if c not in ("score", "predicted")]
+    model = train(df, labels, label, text, most)
+    source = df.select(*dict.fromkeys([*names, text]))
+    schema = ", ".join([*(f"`{c}` {t}" for c, t in source.select(*names).dtypes), "score double", "predicted int"])
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index("features"))
-            x = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), len(FEATURES))
-            score = model.score(x)
+            score = model.score(features_of(batch.column(batch.schema.get_field_index(text))))
             yield pa.RecordBatch.from_arrays([*batch.select(names).columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))], [*names, "score", "predicted"])
 
-    return stats.mapInArrow(run, schema)
+    return source.mapInArrow(run, schema)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """The rows of docs, columns as they are, that are predicted to have label 1."""
+    model = train(docs, labels)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            score = model.score(features_of(batch.column(batch.schema.get_field_index("text"))))
+            yield batch.filter(pa.array(score >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

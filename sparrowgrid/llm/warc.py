@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import ready
+
 FANOUT = 16
 #: Page ids to an archive.
 PAGES = 1000
@@ -62,6 +64,7 @@ def height(*leaves: DataFrame) -> int:
 
 def audit(a: DataFrame, b: DataFrame) -> DataFrame:
     """archive, seq, begin, end (a's range, else b's) and kind (changed, missing from b, extra in b) of all records that differ."""
+    ready(a.sparkSession)
     a, b = (x.select("archive", "seq", "begin", "end", "digest").checkpoint() for x in (a, b))
     top = height(a, b)
     ta, tb = tree(a, top), tree(b, top)
