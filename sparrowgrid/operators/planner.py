@@ -68,9 +68,14 @@ def query_count(profiles: DataFrame) -> DataFrame:
 
 def fill_template(template: Column, locality: Column, term: Column) -> Column:
     """str.format of the two placeholders, with doubled braces as escapes."""
-    hidden = F.replace(F.replace(template, F.lit("{{"), F.lit("\u0001")), F.lit("}}"), F.lit("\u0002"))
-    filled = F.replace(F.replace(hidden, F.lit("{locality}"), locality), F.lit("{vehicle_term}"), term)
-    return F.replace(F.replace(filled, F.lit("\u0001"), F.lit("{")), F.lit("\u0002"), F.lit("}"))
+    # Placeholders are taken out before doubled closing braces, since one may follow the other.
+    marks = (("{{", "\u0001"), ("{locality}", "\u0003"), ("{vehicle_term}", "\u0004"), ("}}", "\u0002"))
+    out = template
+    for text, mark in marks:
+        out = F.replace(out, F.lit(text), F.lit(mark))
+    for mark, text in (("\u0001", F.lit("{")), ("\u0002", F.lit("}")), ("\u0003", locality), ("\u0004", term)):
+        out = F.replace(out, F.lit(mark), text)
+    return out
 
 
 def query_tasks(profiles: DataFrame, localities: DataFrame) -> DataFrame:
