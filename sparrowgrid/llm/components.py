@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import apart, ready
+
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
     """One step on distinct links a > b."""
@@ -18,7 +20,7 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     if large:
         both = both.unionAll(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    met = both.join(least, "u")
+    met = both.join(apart(least, "u"), "u")
     if large:
         met = met.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:
@@ -28,6 +30,7 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
 
 def connected_components(links: DataFrame) -> DataFrame:
     """node, component (its smallest node) for every node of links (a, b); self-links and nulls are left out."""
+    ready(links.sparkSession)
     now = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct().checkpoint()
     sign = None
     while True:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import ready
+from .shared import apart, ready
 from .textnp import PLACE, mix, shingles, slices, words
 
 N = 5
@@ -206,7 +206,7 @@ def _index(docs: DataFrame, text: str, buckets: int) -> DataFrame:
                     sig, spare = signatures(x, b)
                     entries.append((node, n, b, spare))
                     sigs.append(sig)
-                if len(sigs) > 20_000:
+                if len(sigs) > 8_000:
                     yield from _table(out()).to_batches()
             yield from _table(out()).to_batches()
 
@@ -413,9 +413,9 @@ def _verify(table):
 
 
 def bucket_count(docs: DataFrame) -> int:
-    """One bucket for every 14 MB that the planner expects of the input, 12 at least."""
+    """One bucket for every 10 MB that the planner expects of the input, 12 at least."""
     size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return min(1 << 20, max(12, math.ceil(size / 14e6)))
+    return min(1 << 20, max(12, math.ceil(size / 10e6)))
 
 
 def components(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -440,7 +440,7 @@ def components(docs: DataFrame, text: str = "text") -> DataFrame:
     joined = connected_components(links)
     whole = least.join(joined, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     smallest = whole.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named_components = whole.join(smallest, "component").select("node", "component_id")
+    named_components = whole.join(apart(smallest, "component"), "component").select("node", "component_id")
     return named.join(named_components, "node", "left").select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 

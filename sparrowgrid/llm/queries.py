@@ -67,6 +67,26 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.learn_and_identify(documents(spark, sf_dir))
 
 
+def _licenses_sql() -> str:
+    """The scan by brute force: every phrase at every place, every template against every line."""
+    low = lambda c: f"translate(coalesce({c}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    phrases = ", ".join(f"({p.split()!r}, '{label}')" for p, label in licenses.PHRASES.items())
+    templates = ", ".join(f"({sorted(set(t.split()))!r}, '{label}')" for label, t in licenses.TEMPLATES)
+    return f"""
+        WITH d AS (SELECT doc_id, {low('text')} AS t, regexp_extract_all({low('text')}, '{word}') AS w FROM documents),
+        phrases AS (SELECT * FROM (VALUES {phrases}) p(p, label)), templates AS (SELECT * FROM (VALUES {templates}) t(t, label)),
+        b AS (SELECT doc_id, label, unnest(list_filter(range(1, len(w) - len(p) + 2), lambda i: w[i:i + len(p) - 1] = p)) - 1 AS k FROM d, phrases WHERE len(w) >= len(p)),
+        base AS (SELECT doc_id, count(*) AS n_base, min(k) AS first_word, max(k) AS last_word, list(DISTINCT label) AS labels FROM b GROUP BY doc_id),
+        lines AS (SELECT doc_id, list_distinct(regexp_extract_all(line, '{word}')) AS w FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)),
+        hits AS (SELECT doc_id, label, len(list_intersect(w, t))::DOUBLE / len(t) AS c FROM lines, templates WHERE len(list_intersect(w, t)) * 1000 >= {int(licenses.THRESHOLD * 1000)} * len(t)),
+        more AS (SELECT doc_id, list(DISTINCT label) AS labels, max(c) AS c FROM hits GROUP BY doc_id)
+        SELECT d.doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, array_to_string(list_sort(coalesce(base.labels, [])), ',') AS base_labels,
+            array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(more.labels, [])))), ',') AS labels, CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(more.c, 0.0) END::DOUBLE AS score
+        FROM d LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id)
+    """
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_ngram_join": op2_ngram_join,
@@ -82,6 +102,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL for those that SQL can express.
 ORACLE: dict[str, str] = {
+    "op2_ngram_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, md5_number(g) AS g FROM (
+                SELECT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w)
+        ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+        l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 75 * (nx.n + ny.n - c)),
+        e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+        walk AS (SELECT doc_id AS node, doc_id AS reached FROM n UNION SELECT walk.node, e.y FROM walk JOIN e ON walk.reached = e.x)
+        SELECT w.doc_id, coalesce(n, 0) AS n_shingles, coalesce(c, w.doc_id) AS component_id FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT node AS doc_id, min(reached) AS c FROM walk GROUP BY node) USING (doc_id)
+    """,
+    "op9_licenses": _licenses_sql(),
     "op8_warc": r"""
         WITH laid AS (
             SELECT page_id, coalesce(CAST(floor(page_id / 1000) AS BIGINT), -1) AS archive, coalesce(html, '') AS html,
