@@ -93,3 +93,10 @@ def channel_summary(pages: DataFrame, by: list[str]) -> DataFrame:
     warned = pages.select(*by, F.explode("warnings").alias("w")).groupBy(*by, "w").count()
     warned = warned.groupBy(*by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("w", "count")))).alias("warnings"))
     return counted.join(warned, by, "left")
+
+
+def latest_plan_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(last page of each plan by offset, plans whose pages disagree on their total)."""
+    names = [c for c in pages.columns if c != "plan_id"]
+    found = pages.groupBy("plan_id").agg(F.max_by(F.struct(*names), "offset").alias("_p"), F.countDistinct("total_tasks").alias("_totals"))
+    return found.filter("_totals = 1").select("plan_id", "_p.*"), found.filter("_totals > 1").select("plan_id", F.col("_totals").alias("totals"))

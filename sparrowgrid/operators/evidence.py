@@ -34,7 +34,7 @@ def latest_decision(decisions: DataFrame, key: str = "candidate_id", revision: s
 
 
 def with_decision(candidates: DataFrame, decisions: DataFrame, key: str = "candidate_id", **names: str) -> DataFrame:
-    found = candidates.join(latest_decision(decisions, key, **names), key, "left")
+    found = candidates.drop("decision_status", "revision").join(latest_decision(decisions, key, **names), key, "left")
     return found.withColumns({"decision_status": F.coalesce("decision_status", F.lit("unreviewed")), "revision": F.coalesce("revision", F.lit(0))})
 
 
@@ -172,3 +172,39 @@ def integrity(child: DataFrame, parent: DataFrame, key: str, parent_key: str | N
     """Rows of child whose reference has no parent."""
     keys = parent.select(F.col(parent_key or key).alias(key)).distinct()
     return child.filter(F.col(key).isNotNull()).join(keys, key, "left_anti")
+
+
+def decide(decisions: DataFrame, proposed: DataFrame, live_candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, refused with reason) of proposed decisions (candidate_id, expected_revision, status, target_id, actor, reason).
+
+    A decision counts only on the revision that it was made on, a target only with a duplicate and only if it is live. Of several proposals on one revision
+    the first by actor and reason is taken: the others are stale. Cycles and constraints are checked with ``graph``.
+    """
+    now = decisions.groupBy("candidate_id").agg(F.max("revision").alias("_revision"))
+    alive = live_candidates.select("candidate_id").distinct()
+    met = proposed.join(now, "candidate_id", "left").join(alive.withColumn("_alive", F.lit(True)), "candidate_id", "left")
+    met = met.join(alive.select(F.col("candidate_id").alias("target_id"), F.lit(True).alias("_target")), "target_id", "left")
+    nth = F.row_number().over(Window.partitionBy("candidate_id", "expected_revision").orderBy("actor", "reason", "status"))
+    duplicate = F.col("status") == "duplicate_candidate"
+    fault = F.coalesce(
+        F.when((F.trim("actor") == "") | (F.trim("reason") == ""), F.lit("actor_and_reason_required")),
+        F.when(~F.col("status").isin("accepted", "duplicate_candidate", "rejected", "needs_evidence"), F.lit("unknown_status")),
+        F.when(~duplicate & F.col("target_id").isNotNull(), F.lit("target_only_with_duplicate")),
+        F.when(F.col("_alive").isNull(), F.lit("candidate_not_live")),
+        F.when(duplicate & (F.col("_target").isNull() | (F.col("target_id") == F.col("candidate_id"))), F.lit("target_not_live")),
+        F.when(F.col("expected_revision") != F.coalesce("_revision", F.lit(0)), F.lit("stale_revision")),
+        F.when(F.col("_nth") > 1, F.lit("stale_revision")),
+    )
+    met = met.withColumn("_nth", nth).withColumn("fault", fault)
+    accepted = met.filter("fault is null").select("candidate_id", (F.col("expected_revision") + 1).alias("revision"), "status", F.col("actor").alias("actor_ref"), "reason", "target_id")
+    return accepted, met.filter("fault is not null").select(*proposed.columns, "fault")
+
+
+def technology_claims(pages: DataFrame, scans: DataFrame) -> DataFrame:
+    """Rows in the shape of parsed claims for pages (page_id, origin) whose technology scan shows anything; surfaces need a review."""
+    met = pages.select("page_id", "origin").join(scans, "page_id").filter("size(detections) > 0 or size(inventory_surfaces) > 0 or dynamic_rendering_required = 'true'")
+    own = met.select("page_id", F.col("origin").alias("locator"), F.lit("source").alias("kind"), F.lit("technology_observation").alias("relation"), F.lit("").alias("label"),
+                     F.to_json(F.struct(F.lit("technology_signatures").alias("assertion_method"), F.lit("unverified").alias("claim_status"), F.lit("document").alias("evidence_selector"), "detections")).alias("signals"))
+    surfaces = met.select("page_id", F.explode("inventory_surfaces").alias("s")).select("page_id", "s.locator", F.lit("source").alias("kind"), F.lit("inventory_surface").alias("relation"), F.lit("").alias("label"),
+                     F.to_json(F.struct(F.col("s.rule").alias("assertion_method"), F.lit("unverified").alias("claim_status"), F.col("s.selector").alias("evidence_selector"), F.lit(True).alias("requires_access_review"))).alias("signals"))
+    return own.unionByName(surfaces)

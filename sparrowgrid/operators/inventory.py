@@ -103,3 +103,17 @@ def valid_interval(start: Column, end: Column) -> Column:
 def clocks(df: DataFrame, by: list[str], kind: str, at: str, kinds: list[str]) -> DataFrame:
     """One clock for each kind of evidence; each advances only on its own."""
     return df.groupBy(*by).agg(*[F.max(F.when(F.col(kind) == k, F.col(at))).alias(f"{k}_at") for k in kinds])
+
+
+def listed(df: DataFrame, countries: list[str] | None = None, classes: list[str] | None = None, states: list[str] | None = None, updated_after: Column | None = None, sort: list[tuple[str, bool]] = (), key: str = "item_id") -> DataFrame:
+    """Filters and sort of an inventory or listing view; None leaves a dimension open, the key breaks every tie."""
+    tests = [(F.col(c).isin(*v)) for c, v in (("market_country", countries), ("vehicle_class", classes), ("presence_state", states)) if v is not None]
+    tests += [] if updated_after is None else [F.col("updated_at") > updated_after]
+    for test in tests:
+        df = df.filter(test)
+    return df.orderBy(*[F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_last() for c, down in sort], key)
+
+
+def partition_outcomes(rows: DataFrame, run: list[str], listing: str) -> DataFrame:
+    """Per partition: fetched and distinct listings; and the union of all partitions counts a listing once."""
+    return rows.groupBy(*run).agg(F.count("*").alias("fetched_count"), F.countDistinct(listing).alias("distinct_listing_count"))

@@ -141,3 +141,22 @@ def shares(due: DataFrame, max_tasks: int, max_schedules: int) -> DataFrame:
 
     folded = ordered.select("due", F.aggregate("due", start, give)["given"].alias("given"))
     return folded.select(F.posexplode(F.arrays_zip("due", "given")).alias("turn", "x")).select("turn", "x.due.schedule_id", "x.given")
+
+
+def inspect_schedule(schedules: DataFrame, generations: DataFrame, most: int = 1000) -> DataFrame:
+    """Schedules with their first ``most`` generations by due time, and whether there are more."""
+    nth = F.row_number().over(Window.partitionBy("schedule_id").orderBy("due_at"))
+    kept = generations.withColumn("_nth", nth).groupBy("schedule_id").agg(
+        F.array_sort(F.collect_list(F.when(F.col("_nth") <= most, F.struct("due_at", "plan_id", "tasks_generated", "generation_complete")))).alias("generations"), (F.max("_nth") > most).alias("truncated")
+    )
+    return schedules.join(kept, "schedule_id", "left").withColumn("truncated", F.coalesce("truncated", F.lit(False)))
+
+
+def advance(schedules: DataFrame, pages: DataFrame) -> DataFrame:
+    """Schedules (next_at, offset, last_tick) after generated pages (schedule_id, complete, next_offset, turn): a window goes on until it is complete."""
+    met = schedules.join(pages.select("schedule_id", "complete", F.col("next_offset").alias("_offset"), "turn"), "schedule_id", "left")
+    done = F.coalesce("complete", F.lit(False))
+    return met.withColumns({
+        "next_at": F.when(done, F.col("next_at") + F.col("interval_seconds")).otherwise(F.col("next_at")), "offset": F.when(done, F.lit(0)).otherwise(F.coalesce("_offset", F.col("offset"))),
+        "last_tick": F.coalesce("turn", F.col("last_tick")),
+    }).drop("complete", "_offset", "turn")

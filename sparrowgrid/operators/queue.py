@@ -25,7 +25,7 @@ def claim_order(tasks: DataFrame, last_claim: str = "last_claim", stratum: str =
 
 def admit_budget(requests: DataFrame, policy: str, budget: Column, order: list[str]) -> DataFrame:
     """requests with ``spent`` (place within the policy) and ``admitted``: the first ``budget`` of each policy."""
-    spent = F.row_number().over(Window.partitionBy(policy).orderBy(*order))
+    spent = F.row_number().over(Window.partitionBy(policy).orderBy(*order)).cast("long")
     return requests.withColumn("spent", spent).withColumn("admitted", F.col("spent") <= budget)
 
 
@@ -143,3 +143,27 @@ def register_policies(existing: DataFrame, new: DataFrame) -> tuple[DataFrame, D
     met = new.join(existing.select("policy_ref", F.col("checksum").alias("_old"), "revoked"), "policy_ref", "left")
     wrong = (F.col("_old") != F.col("checksum")) | F.col("revoked")
     return met.filter("_old is null").drop("_old", "revoked"), met.filter(wrong).drop("_old", "revoked")
+
+
+def resume_window(work: DataFrame, receipts: DataFrame, reviews: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(new tasks, refused) of reviews that open one more page window for channel work that ran out of pages.
+
+    work: task_key, status, channel_page, max_pages, cursor, scope (canonical text of source and parameters); reviews: task_key, binding (digest), scope, actor, reason.
+    A task is resumed once; the same review again is idempotent, another one is refused, and neither may change the source or its parameters.
+    """
+    done = receipts.select("task_key", F.col("binding").alias("_before"))
+    met = reviews.join(work.select("task_key", "status", "channel_page", "max_pages", "cursor", F.col("scope").alias("_scope")), "task_key", "left").join(done, "task_key", "left")
+    fault = F.coalesce(
+        F.when((F.trim("actor") == "") | (F.trim("reason") == ""), F.lit("actor_and_reason_required")),
+        F.when(F.col("_before").isNotNull() & (F.col("_before") != F.col("binding")), F.lit("resumed_with_another_review")),
+        F.when(F.col("_before").isNull() & (F.col("status").isNull() | ~F.col("status").isin("deferred", "blocked", "partial")), F.lit("nothing_to_resume")),
+        F.when(F.col("_before").isNull() & (F.col("scope") != F.col("_scope")), F.lit("scope_changed")),
+        F.when(F.col("_before").isNull() & (F.col("cursor").isNull() | (F.col("channel_page") <= F.col("max_pages"))), F.lit("not_page_window_debt")),
+    )
+    met = met.withColumn("fault", fault)
+    fresh = met.filter("fault is null and _before is null").select(F.concat(F.lit("resume:"), F.sha2(F.concat(F.lit('["'), F.col("task_key"), F.lit('","'), F.col("binding"), F.lit('"]')), 256)).alias("task_key"), F.col("task_key").alias("supersedes"), "binding", "cursor", F.lit(1).alias("channel_page"))
+    return fresh, met.filter("fault is not null").select(*reviews.columns, "fault")
+
+
+def listing(tasks: DataFrame, limit: int, status: str | None = None) -> DataFrame:
+    return (tasks if status is None else tasks.filter(F.col("status") == status)).orderBy("task_key").limit(limit)

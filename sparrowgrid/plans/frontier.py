@@ -16,7 +16,7 @@ from .registry import ntz, query, table
     SELECT lane, n_nationkey, idx, row_number() OVER (ORDER BY idx, lane) - 1 AS ordinal FROM r
 """)
 def round_robin_order(spark, d):
-    rows = table(spark, d, "nation").select(F.col("n_regionkey").alias("lane"), "n_nationkey", (F.row_number().over(Window.partitionBy("n_regionkey").orderBy("n_nationkey")) - 1).alias("idx"))
+    rows = table(spark, d, "nation").select(F.col("n_regionkey").alias("lane"), "n_nationkey", (F.row_number().over(Window.partitionBy("n_regionkey").orderBy("n_nationkey")) - 1).cast("long").alias("idx"))
     return planner.round_robin(rows, "lane", "idx").select("lane", "n_nationkey", "idx", "ordinal")
 
 
@@ -118,7 +118,7 @@ def release_frontier(spark, d):
 
 
 @query("retry_after", """
-    SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 1000.0 + greatest(1, CAST(props->>'k' AS BIGINT)) ELSE 1060.0 END AS retry_at FROM events
+    SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 1000.0 + greatest(1, CAST(props->>'k' AS BIGINT)) ELSE 1060.0 END::DOUBLE AS retry_at FROM events
 """)
 def retry_after(spark, d):
     value = F.when(F.col("event_id") % 3 == 0, F.get_json_object("props", "$.k")).when(F.col("event_id") % 3 == 1, F.lit("soon"))

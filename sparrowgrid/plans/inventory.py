@@ -275,4 +275,64 @@ def uint64_order(spark, d):
     text = (F.lit("18446744073709551615").cast("decimal(20,0)") - (F.col("event_id") * F.col("event_id")).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string")
     rows = table(spark, d, "events").filter("event_id < 500").select("event_id", text.alias("seq"))
     # A rank over a bounded page of keys.
-    return rows.withColumn("place", F.rank().over(Window.orderBy(canonical.uint64(F.col("seq")))))
+    return rows.withColumn("place", F.rank().over(Window.orderBy(canonical.uint64(F.col("seq")))).cast("long"))
+
+
+@query("inventory_listing", """
+    SELECT p_partkey, p_brand, p_size FROM part WHERE p_brand IN ('Brand#1', 'Brand#2', 'Brand#3') AND p_type IN ('ECONOMY', 'STANDARD') AND p_retailprice > 950
+""")
+def inventory_listing(spark, d):
+    """Filters of a listing view; its sort is over (size descending, key)."""
+    rows = table(spark, d, "part").withColumns({"item_id": F.col("p_partkey"), "market_country": F.col("p_brand"), "vehicle_class": F.col("p_type"), "updated_at": F.col("p_retailprice")})
+    out = inventory.listed(rows, ["Brand#1", "Brand#2", "Brand#3"], ["ECONOMY", "STANDARD"], updated_after=F.lit(950), sort=[("p_size", True)])
+    return out.select("p_partkey", "p_brand", "p_size")
+
+
+@query("partition_outcomes", "SELECT l_suppkey, l_returnflag, count(*) AS fetched_count, count(DISTINCT l_partkey) AS distinct_listing_count FROM lineitem GROUP BY ALL")
+def partition_outcomes(spark, d):
+    return inventory.partition_outcomes(table(spark, d, "lineitem"), ["l_suppkey", "l_returnflag"], "l_partkey")
+
+
+@query("latest_plan_page", """
+    SELECT o_custkey AS plan_id, max(o_orderkey) AS "offset", arg_max(o_orderstatus, o_orderkey) AS status FROM orders GROUP BY o_custkey HAVING count(DISTINCT o_orderpriority) = 1
+""")
+def latest_plan_page(spark, d):
+    pages = table(spark, d, "orders").select(F.col("o_custkey").alias("plan_id"), F.col("o_orderkey").alias("offset"), F.col("o_orderpriority").alias("total_tasks"), F.col("o_orderstatus").alias("status"))
+    return coverage.latest_plan_pages(pages)[0].select("plan_id", "offset", "status")
+
+
+@query("decision_revisions", """
+    WITH now AS (SELECT o_custkey, count(*) AS revision FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
+    p AS (SELECT c_custkey, c_custkey % 7 AS expected, CASE WHEN c_custkey % 5 = 0 THEN 'perhaps' ELSE 'accepted' END AS status FROM customer)
+    SELECT c_custkey AS candidate_id, CASE WHEN status = 'perhaps' THEN 'unknown_status' WHEN c_acctbal < 0 THEN 'candidate_not_live' WHEN expected <> coalesce(revision, 0) THEN 'stale_revision' END AS fault
+    FROM p JOIN customer USING (c_custkey) LEFT JOIN now ON o_custkey = c_custkey
+""")
+def decision_revisions(spark, d):
+    from ..operators import evidence
+
+    done = table(spark, d, "orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("candidate_id"), F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")).cast("long").alias("revision"))
+    c = table(spark, d, "customer").withColumnRenamed("c_custkey", "candidate_id")
+    proposed = c.select("candidate_id", (F.col("candidate_id") % 7).alias("expected_revision"), F.when(F.col("candidate_id") % 5 == 0, "perhaps").otherwise("accepted").alias("status"), F.lit(None).cast("long").alias("target_id"), F.lit("a").alias("actor"), F.lit("r").alias("reason"))
+    accepted, refused = evidence.decide(done, proposed, c.filter("c_acctbal >= 0"))
+    return accepted.select("candidate_id", F.lit(None).cast("string").alias("fault")).unionAll(refused.select("candidate_id", "fault"))
+
+
+@query("acquisition_allowed", """
+    SELECT s_suppkey, s_suppkey % 3 <> 0 AND s_nationkey % 4 <> 0 AND s_acctbal >= 0 AND s_suppkey % 7 <> 1 AS allowed FROM supplier
+""")
+def acquisition_allowed(spark, d):
+    """Bundles by supplier: a third retired, some nations out of scope, negative balances revoked, one in seven with a stale capability."""
+    from ..operators import acquisition
+
+    key, day = F.col("s_suppkey").cast("string"), lambda text: F.lit(text).cast("timestamp")
+    strings = lambda *items: F.array(*[F.lit(i) for i in items])
+    rows = table(spark, d, "supplier").select(
+        "s_suppkey",
+        F.struct(key.alias("source_id"), F.when(F.col("s_suppkey") % 3 == 0, "retired").otherwise("monitored").alias("lifecycle")).alias("source"),
+        F.struct(key.alias("source_id"), key.alias("surface_id"), key.alias("admission_id")).alias("surface"),
+        F.struct(key.alias("stream_id"), key.alias("source_id"), key.alias("surface_id"), key.alias("admission_id"), key.alias("capability_manifest_id"), F.lit("1").alias("scope_revision"), F.when(F.col("s_nationkey") % 4 == 0, strings("FR", "IT")).otherwise(strings("FR")).alias("market_countries"), strings("car").alias("vehicle_classes")).alias("stream"),
+        F.struct(key.alias("admission_id"), key.alias("surface_id"), F.when(F.col("s_acctbal") >= 0, "approved").otherwise("revoked").alias("status"), F.lit(True).alias("acquire_inventory"), day("2026-01-01").alias("valid_from"), day("2026-12-01").alias("valid_until"), day("2026-06-01").alias("review_due_at"), strings("FR", "DE").alias("market_countries"), strings("car", "lcv").alias("vehicle_classes")).alias("admission"),
+        F.struct(key.alias("capability_manifest_id"), key.alias("surface_id"), day("2026-01-01").alias("capabilities_verified_at"), F.when(F.col("s_suppkey") % 7 == 1, day("2026-01-02")).otherwise(day("2026-04-01")).alias("revalidate_at")).alias("capability"),
+        F.struct(key.alias("stream_id"), key.alias("capability_manifest_id"), F.lit("1").alias("scope_revision"), F.lit(2).alias("max_partitions"), F.array(F.struct(F.lit("1").alias("partition_id"), F.lit("x").alias("partition_key"))).alias("partitions")).alias("plan"),
+    )
+    return rows.select("s_suppkey", acquisition.may_acquire(day("2026-02-01")).alias("allowed"))

@@ -14,7 +14,7 @@ LINK = r'<a href="([^"]*)"[^>]*>([^<]*)</a>'
 
 def _links(spark, d):
     found = table(spark, d, "pages").select("page_id", "url", F.regexp_extract_all("html", F.lit(LINK), F.lit(1)).alias("h"), F.regexp_extract_all("html", F.lit(LINK), F.lit(2)).alias("t"))
-    return found.select("page_id", "url", F.posexplode(F.arrays_zip("h", "t")).alias("position", "x")).select("page_id", "url", "position", F.col("x.h").alias("href"), F.col("x.t").alias("label"))
+    return found.select("page_id", "url", F.posexplode(F.arrays_zip("h", "t")).alias("position", "x")).select("page_id", "url", F.col("position").cast("long").alias("position"), F.col("x.h").alias("href"), F.col("x.t").alias("label"))
 
 
 LINKS = f"""SELECT page_id, unnest(regexp_extract_all(html, '{LINK}', 1)) AS href, unnest(regexp_extract_all(html, '{LINK}', 2)) AS label, generate_subscripts(regexp_extract_all(html, '{LINK}', 1), 1) - 1 AS position FROM pages"""
