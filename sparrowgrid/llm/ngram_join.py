@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
+from .pressed import press, unpress
 from .shared import apart, ready
 from .textnp import PLACE, mix, shingles, slices, words
 
@@ -389,7 +390,8 @@ def _verify(table):
 
     wanted = table.column("node").to_pylist()
     names, sets, seen = [], [], set()
-    for k, x, node in sets_of(table.column("text")):
+    texts = pa.array(unpress(table.column("__z")), pa.binary()).cast(pa.string())
+    for k, x, node in sets_of(texts):
         # Of rows that share a doc_id, only the text that the node was made of.
         if node == wanted[k] and node not in seen:
             seen.add(node)
@@ -433,9 +435,9 @@ def components(docs: DataFrame, text: str = "text") -> DataFrame:
     # A group of several blocks is verified block by block, each pair of blocks in a task of its own.
     chunk, chunks = F.expr(f"cast(rank div {BLOCK} as int)"), F.expr(f"cast((of - 1) div {BLOCK} as int)")
     dealt = members.join(least, "node").select("node", "doc_id", "key", F.explode(F.transform(F.sequence(F.lit(0), chunks), lambda c: F.struct(F.least(c, chunk).alias("one"), F.greatest(c, chunk).alias("two")))).alias("block"))
-    texts = docs.select("doc_id", F.col(text).alias("text")).filter(F.col("doc_id").isNotNull())
+    texts = press(docs.filter(F.col("doc_id").isNotNull()), ["doc_id"], text)
     wanted = dealt.select("node", "doc_id").distinct()
-    bodies = texts.join(wanted, "doc_id").select("node", "text")
+    bodies = texts.join(wanted, "doc_id").select("node", "__z")
     links = dealt.select("node", "key", "block").join(bodies, "node").groupBy("key", "block").applyInArrow(_verify, "a long, b long")
     joined = connected_components(links)
     whole = least.join(joined, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
