@@ -279,12 +279,12 @@ def uint64_order(spark, d):
 
 
 @query("inventory_listing", """
-    SELECT p_partkey, p_brand, p_size FROM part WHERE p_brand IN ('Brand#1', 'Brand#2', 'Brand#3') AND p_type IN ('ECONOMY', 'STANDARD') AND p_retailprice > 950
+    SELECT p_partkey, p_brand, p_size FROM part WHERE p_brand IN ('Brand#1', 'Brand#2', 'Brand#3') AND p_type IN ('ECONOMY', 'STANDARD') AND p_retailprice > 905
 """)
 def inventory_listing(spark, d):
     """Filters of a listing view; its sort is over (size descending, key)."""
     rows = table(spark, d, "part").withColumns({"item_id": F.col("p_partkey"), "market_country": F.col("p_brand"), "vehicle_class": F.col("p_type"), "updated_at": F.col("p_retailprice")})
-    out = inventory.listed(rows, ["Brand#1", "Brand#2", "Brand#3"], ["ECONOMY", "STANDARD"], updated_after=F.lit(950), sort=[("p_size", True)])
+    out = inventory.listed(rows, ["Brand#1", "Brand#2", "Brand#3"], ["ECONOMY", "STANDARD"], updated_after=F.lit(905), sort=[("p_size", True)])
     return out.select("p_partkey", "p_brand", "p_size")
 
 
@@ -294,10 +294,10 @@ def partition_outcomes(spark, d):
 
 
 @query("latest_plan_page", """
-    SELECT o_custkey AS plan_id, max(o_orderkey) AS "offset", arg_max(o_orderstatus, o_orderkey) AS status FROM orders GROUP BY o_custkey HAVING count(DISTINCT o_orderpriority) = 1
+    SELECT o_custkey AS plan_id, max(o_orderkey) AS "offset", arg_max(o_orderstatus, o_orderkey) AS status FROM orders GROUP BY o_custkey HAVING count(DISTINCT o_orderkey % 50 = 0) = 1
 """)
 def latest_plan_page(spark, d):
-    pages = table(spark, d, "orders").select(F.col("o_custkey").alias("plan_id"), F.col("o_orderkey").alias("offset"), F.col("o_orderpriority").alias("total_tasks"), F.col("o_orderstatus").alias("status"))
+    pages = table(spark, d, "orders").select(F.col("o_custkey").alias("plan_id"), F.col("o_orderkey").alias("offset"), (F.col("o_orderkey") % 50 == 0).alias("total_tasks"), F.col("o_orderstatus").alias("status"))
     return coverage.latest_plan_pages(pages)[0].select("plan_id", "offset", "status")
 
 
