@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .pressed import press, unpress
-from .shared import apart, ready
+from .shared import apart, ready, release
 from .textnp import PLACE, mix, shingles, slices, words
 
 N = 5
@@ -427,6 +427,7 @@ def components(docs: DataFrame, text: str = "text") -> DataFrame:
     named = nodes(docs, text).checkpoint()
     shared = _index(docs, text, buckets).groupBy("bucket").applyInArrow(_shared(buckets), SCHEMA)
     met = shared.groupBy("bucket").applyInArrow(_allocated(buckets), SCHEMA).groupBy("bucket").applyInArrow(_meet, "a long, b long, kind int").distinct().checkpoint()
+    release(docs.sparkSession)
     # Groups: nodes of one main node, and groups that a candidate pair connects.
     joint = connected_components(met.filter("kind = 1").select("a", "b")).select(F.col("node").alias("main"), F.col("component").alias("joint"))
     members = met.filter("kind = 0").select(F.col("a").alias("main"), F.col("b").alias("node")).join(joint, "main", "left").select(F.coalesce("joint", "main").alias("key"), "node").distinct()

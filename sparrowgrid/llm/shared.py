@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -23,6 +24,12 @@ def through_parquet(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of phases that are over: its cleaner only hears of them when the driver collects its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def apart(df: DataFrame, key: str) -> DataFrame:
     """df with its key (a long) computed anew, so that a join on it has an exchange of its own: Spark can then split a hot key on the other side."""
     from pyspark.sql import functions as F
