@@ -65,7 +65,6 @@ class Bpe:
         s = r"\p{White_Space}"
         self.pattern = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{s}\p{{L}}\p{{N}}]+|{s}+(?!\P{{White_Space}})|{s}+")
         self.known: dict[str, tuple[int, ...]] = {}
-        self.text_of = [str(i) for i in range(max(self.bytes_of) + 1)]
 
     def _leaf(self, a: np.ndarray, b: np.ndarray, at: np.ndarray) -> np.ndarray:
         key = a << 20 | b
@@ -265,6 +264,8 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", keep:
                     columns.append(pa.array(map(bpe.decode, found), pa.string()))
                 yield pa.RecordBatch.from_arrays([*rest.slice(at, len(part)).columns, *columns], [*names, *extra])
                 at += len(part)
+        # A worker goes on to other stages: what this task remembered is not kept in their memory.
+        bpe.known = {}
 
     return source.mapInArrow(run, schema)
 
