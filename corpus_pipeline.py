@@ -20,9 +20,9 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines are taken out; a document that loses all its lines that count goes."""
+    """Repeated lines are taken out; a document that loses lines and has nothing but blanks left goes."""
     ready(spark)
-    out = line_dedup.dedup(docs).filter((F.col("n_removed") == 0) | (F.col("n_left") > 0))
+    out = line_dedup.dedup(docs).filter((F.col("n_removed") == 0) | F.col("text").rlike(r"(?U)\S"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

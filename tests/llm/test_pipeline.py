@@ -47,3 +47,11 @@ def test_stages(spark):
     assert all(r.ids == library.encode(texts[r.doc_id], add_special_tokens=False).ids for r in final)
     again = {r.doc_id: r.n_tokens for r in corpus_pipeline.run(spark, DATA).collect()}
     assert again == {r.doc_id: r.n_tokens for r in final}
+
+
+def test_line_dedup_keeps_what_is_left(spark, docs):
+    footer = "all rights reserved by the makers"
+    given = [(1, footer), (2, f"* salt\n* flour\n{footer}"), (3, f"{footer}\n \n\t "), (4, footer), (5, "  "), (6, f"一行没有空格的文字\n{footer}"), (7, None)]
+    found = dict(rows(corpus_pipeline.distinct_lines(spark, docs([r for r in given if r[1] is not None]), DATA)))
+    assert found == {1: footer, 2: "* salt\n* flour", 5: "  ", 6: "一行没有空格的文字"}
+    assert corpus_pipeline.distinct_lines(spark, docs(given), DATA).count() == 5
