@@ -1,9 +1,11 @@
 """Operator 9: license scans by an exact set-similarity join of text blocks with license templates.
 
-A block is a line. A template's distinct words are ordered by their frequency over all documents, rarest first. A block contains
+Blocks are the lines, and, so that wrapped texts are found, every window of consecutive words of a text, whatever lines it spans, of up to the template's
+number of words over t. A template's distinct words are ordered by their frequency over all documents, rarest first. A block contains
 a template when at least ceil(t * |T|) of its |T| words occur in it; so it must hold one of the first
 |T| - ceil(t * |T|) + 1 words (prefix filter), have at least ceil(t * |T|) words (length filter), and after the i-th of the ordered words the
-matches so far plus those still to come must reach the bound (positional filter). What is left is counted exactly.
+matches so far plus those still to come must reach the bound (positional filter). A window must hold ceil(t * |T|) places of template words, repeated ones
+included (length filter). What is left is counted exactly.
 
 Fixed phrases are found beside it wherever their words stand consecutively, across lines too.
 
@@ -79,16 +81,36 @@ class Scanner:
     """Templates with words ordered by frequency, and phrases; ``scan`` reads an Arrow string column."""
 
     def __init__(self, templates: list[tuple[str, str]], phrases: dict[str, str], counts: dict[str, int], threshold: float):
-        self.templates = []
+        self.templates, self.spans = [], []
         for label, text in templates:
             distinct = sorted(dict.fromkeys(words_of(text)), key=lambda w: (counts.get(w, 0), w))
             need = -(-int(round(threshold * 1000)) * len(distinct) // 1000)
             if distinct:
                 self.templates.append((label, hash_words(distinct), need, len(distinct) - need + 1))
+                self.spans.append(-(-len(words_of(text)) * 1000 // int(round(threshold * 1000))))
         self.phrases = [(label, hash_words(words_of(text))) for text, label in phrases.items()]
         self.prefix = np.unique(np.concatenate([h[:k] for _, h, _, k in self.templates])) if self.templates else np.zeros(0, np.uint64)
         self.maybe = np.zeros(1 << 16, bool)
         self.maybe[(self.prefix & np.uint64(0xFFFF)).astype(np.int64)] = True
+        self.known = np.zeros(1 << 16, bool)
+        for _, t, _, _ in self.templates:
+            self.known[(t & np.uint64(0xFFFF)).astype(np.int64)] = True
+
+    def windows(self, h: np.ndarray, row_of: np.ndarray):
+        """(row, label, containment) of the windows of words that contain a template."""
+        known = np.flatnonzero(self.known[(h & np.uint64(0xFFFF)).astype(np.int64)])
+        for (label, t, need, prefix), span in zip(self.templates, self.spans):
+            at = known[np.isin(h[known], t)]
+            if len(at) < need or not np.isin(t[:prefix], h[at]).any():
+                continue
+            # A window may as well begin at a template's word.
+            start = np.flatnonzero((at[need - 1 :] - at[: len(at) - need + 1] < span) & (row_of[at[need - 1 :]] == row_of[at[: len(at) - need + 1]]))
+            for k in start.tolist():
+                end = int(np.searchsorted(at, at[k] + span))
+                inside = at[k:end]
+                found = len(np.unique(h[inside[row_of[inside] == row_of[at[k]]]]))
+                if found >= need:
+                    yield int(row_of[at[k]]), label, found / len(t)
 
     def scan(self, column) -> list[tuple]:
         """Per text: n_words, n_base, first_word, last_word, base labels, labels, score."""
@@ -131,6 +153,9 @@ class Scanner:
                         else:
                             own = more.setdefault(int(row_of[a]), {})
                             own[label] = max(own.get(label, 0.0), found / len(t))
+            for k, label, part in self.windows(h, row_of):
+                own = more.setdefault(k, {})
+                own[label] = max(own.get(label, 0.0), part)
             for k in range(end - first):
                 places, extra = base.get(k, []), more.get(k, {})
                 labels = {x for _, x in places}

@@ -49,3 +49,12 @@ def test_odd_tables(docs):
     assert out.count() == len(ODD) and out.select("ids").distinct().collect()[0].ids == "kept"
     assert lic.scan(docs([])).count() == 0
     assert lic.scan(docs(ODD), templates=[], phrases={}).filter("labels <> ''").count() == 0
+
+
+def test_wrapped_texts_are_found(docs):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal"
+    gpl = " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n"
+    apart = "permission is hereby granted free of charge to any person " + "word " * 60 + "\nobtaining a copy of this software and associated documentation files"
+    rows = [(1, mit), (2, gpl), (3, "\n".join(lic.words_of(mit))), (4, apart), (5, "some words\n" * 30 + gpl + "some words\n" * 30), (6, mit[:40]), (7, mit[40:])]
+    found = {r.doc_id: (r.labels, r.score) for r in lic.scan(docs(rows)).collect()}
+    assert found == {1: ("mit", 1.0), 2: ("gpl-3", 1.0), 3: ("mit", 1.0), 4: ("", 0.0), 5: ("gpl-3", 1.0), 6: ("", 0.0), 7: ("", 0.0)}
