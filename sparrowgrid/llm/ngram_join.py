@@ -19,15 +19,13 @@ repeated rows and texts are one node and share a component; a null doc_id is car
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
 from .pressed import press, unpress
-from .shared import apart, ready
+from .shared import apart, bucket_count, ready
 from .textnp import PLACE, mix, shingles, slices, words
 
 N = 5
@@ -414,12 +412,6 @@ def _verify(table):
     return pa.table({"a": pa.array([x[0] for x in out], pa.int64()), "b": pa.array([x[1] for x in out], pa.int64())})
 
 
-def bucket_count(docs: DataFrame) -> int:
-    """One bucket for every 10 MB that the planner expects of the input, 12 at least."""
-    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return min(1 << 20, max(12, math.ceil(size / 10e6)))
-
-
 def components(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs."""
     ready(docs.sparkSession)
@@ -435,9 +427,9 @@ def components(docs: DataFrame, text: str = "text") -> DataFrame:
     # A group of several blocks is verified block by block, each pair of blocks in a task of its own.
     chunk, chunks = F.expr(f"cast(rank div {BLOCK} as int)"), F.expr(f"cast((of - 1) div {BLOCK} as int)")
     dealt = members.join(least, "node").select("node", "doc_id", "key", F.explode(F.transform(F.sequence(F.lit(0), chunks), lambda c: F.struct(F.least(c, chunk).alias("one"), F.greatest(c, chunk).alias("two")))).alias("block"))
-    texts = press(docs.filter(F.col("doc_id").isNotNull()), ["doc_id"], text)
+    texts, held = press(docs.filter(F.col("doc_id").isNotNull()), ["doc_id"], text)
     wanted = dealt.select("node", "doc_id").distinct()
-    bodies = texts.join(wanted, "doc_id").select("node", "__z")
+    bodies = texts.join(wanted, "doc_id").select("node", F.col(held).alias("__z"))
     links = dealt.select("node", "key", "block").join(bodies, "node").groupBy("key", "block").applyInArrow(_verify, "a long, b long")
     joined = connected_components(links)
     whole = least.join(joined, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))

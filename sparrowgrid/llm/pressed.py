@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import free
 
-def press(docs: DataFrame, names: list[str], text: str) -> DataFrame:
-    """names, the text's hash as ``__version`` and the text compressed as ``__z``; null stays null."""
+
+def press(docs: DataFrame, names: list[str], text: str, version: str = "__version") -> tuple[DataFrame, str]:
+    """names, the text's hash as ``version`` and the text compressed (null stays null), and the name of that last column."""
+    held = free([*names, version, text], "_pressed")
+    carried = list(dict.fromkeys([*names, version, text]))
 
     def run(batches):
         import pyarrow as pa
@@ -15,12 +19,12 @@ def press(docs: DataFrame, names: list[str], text: str) -> DataFrame:
 
         pressed = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            z = [None if t is None else pressed.compress(t.encode()) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.select([*names, "__version"]).columns, pa.array(z, pa.binary())], [*names, "__version", "__z"])
+            z = [None if t is None else pressed.compress(t.encode()) for t in batch.column(carried.index(text)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(carried.index(c)) for c in (*names, version)), pa.array(z, pa.binary())], [*names, version, held])
 
-    source = docs.withColumn("__version", F.xxhash64(text)).select(*dict.fromkeys([*names, "__version", text]))
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in source.select(*names).dtypes), "__version long, __z binary"])
-    return source.mapInArrow(run, schema)
+    source = docs.withColumn(version, F.xxhash64(text)).select(*carried)
+    schema = ", ".join([*(f"`{c}` {t}" for c, t in source.select(*names).dtypes), f"`{version}` long, `{held}` binary"])
+    return source.mapInArrow(run, schema), held
 
 
 def unpress(column) -> list[bytes | None]:
