@@ -165,7 +165,7 @@ def test_robots():
     text = "User-agent: *\nDisallow: /a\nAllow: /a/b\nCrawl-delay: 3\n\nUser-agent: ourbot\nDisallow: /*.pdf$\nAllow: /x\nDisallow: /x"
     assert [robots.allowed(text, "other/1", "https://e.example.com" + p) for p in ("/a/c", "/a/b/c", "/z")] == [False, True, True]
     assert [robots.allowed(text, "OurBot/2", "https://e.example.com" + p) for p in ("/a/c", "/f.pdf", "/f.pdf?x", "/x")] == [True, False, True, True]
-    assert robots.rules_for(robots.parse(text), "other")[1] == 3.0
+    assert robots.rules_for(text, "other")[1] == 3.0
 
 
 def test_geography(spark):
