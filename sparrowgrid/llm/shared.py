@@ -59,7 +59,7 @@ def free(taken: Iterable[str], name: str) -> str:
     return name
 
 
-def bucket_count(docs: DataFrame) -> int:
-    """One bucket for every 10 MB that the planner expects of the input, 12 at least."""
-    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return min(1 << 16, max(12, math.ceil(size / 10e6)))
+def bucket_count(docs: DataFrame, size: float = 10e6) -> int:
+    """One bucket for every ``size`` bytes that the planner expects of the input, 12 at least."""
+    expected = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return min(1 << 20, max(12, math.ceil(expected / size)))
