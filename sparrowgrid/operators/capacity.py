@@ -2,54 +2,42 @@
 
 from __future__ import annotations
 
-import ast
+import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_CALLS = {"ceil": lambda x: F.ceil(x).cast("double"), "max": F.greatest, "min": F.least}
-
-
-def _column(node: ast.AST, known: dict[str, Column]) -> Column:
-    """A column of an arithmetic expression; KeyError for a name that is not known yet."""
-    match node:
-        case ast.Expression(body=body):
-            return _column(body, known)
-        case ast.Name(id=name):
-            return known[name]
-        case ast.Constant(value=int() | float() as value) if not isinstance(value, bool):
-            return F.lit(float(value))
-        case ast.BinOp(left=a, op=op, right=b):
-            x, y = _column(a, known), _column(b, known)
-            match op:
-                case ast.Add():
-                    return x + y
-                case ast.Sub():
-                    return x - y
-                case ast.Mult():
-                    return x * y
-                case ast.Div():
-                    return x / y
-        case ast.Call(func=ast.Name(id=name), args=args, keywords=[]) if name in _CALLS:
-            return _CALLS[name](*[_column(a, known) for a in args])
-    raise ValueError(f"not arithmetic: {ast.dump(node)[:80]}")
+# What an equation may call, as SQL.
+CALLS = {"ceil": "ceil", "max": "greatest", "min": "least"}
+_TOKEN = re.compile(r"\s*(?:(?P<number>[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)|(?P<call>[a-z]+)(?=\s*\()|(?P<name>[A-Za-z_][A-Za-z0-9_]*)|(?P<sign>[-+*/(),]))")
+#: Equations hold no power, no keyword and no value next to another.
+_ODD = re.compile(r"\*\s*\*|/\s*/|\b(?:if|else|and|or|not|in|is|lambda|for)\b|[\w.)]\s+[\w(]")
+
+
+def compiled(equation: str) -> tuple[str, set[str]]:
+    """(SQL, names that it needs) of an equation; ValueError for anything but arithmetic. Numbers are doubles."""
+    out, needs, at = [], set(), 0
+    text = equation.strip()
+    if _ODD.search(text) or not text:
+        raise ValueError(f"not arithmetic: {text[:80]}")
+    while at < len(text):
+        m = _TOKEN.match(text, at)
+        if m is None or (m["call"] and m["call"] not in CALLS):
+            raise ValueError(f"not arithmetic: {text[:80]}")
+        at = m.end()
+        if m["name"]:
+            needs.add(m["name"])
+        out.append(f"{float(m['number'])!r}D" if m["number"] else CALLS[m["call"]] if m["call"] else f"double(`{m['name']}`)" if m["name"] else m["sign"])
+    return "double(" + " ".join(out) + ")", needs
 
 
 def evaluate(profiles: DataFrame, equations: dict[str, str], common: dict[str, float]) -> DataFrame:
     """profiles with a column for each equation that its numeric columns, the common values and other equations determine."""
-    out = profiles
-    known: dict[str, Column] = {k: F.lit(float(v)) for k, v in common.items()} | {c: F.col(c).cast("double") for c, t in profiles.dtypes if t in ("int", "bigint", "double", "float") or t.startswith("decimal")}
-    trees, left = {k: ast.parse(v, mode="eval") for k, v in equations.items()}, dict(equations)
-    while left:
-        ready = {}
-        for name in left:
-            try:
-                ready[name] = _column(trees[name], known)
-            except KeyError:
-                continue
-        if not ready:
-            break
+    sql = {name: compiled(text) for name, text in equations.items()}
+    numeric = {c for c, t in profiles.dtypes if t in ("int", "bigint", "double", "float") or t.startswith("decimal")}
+    out = profiles.withColumns({name: F.lit(float(v)) for name, v in common.items() if name not in profiles.columns}) if common else profiles
+    known = numeric | set(common)
+    while ready := {name: F.expr(text) for name, (text, needs) in sql.items() if name not in known and needs <= known}:
         out = out.withColumns(ready)
-        known |= {name: F.col(name) for name in ready}
-        left = {k: v for k, v in left.items() if k not in ready}
-    return out
+        known |= ready.keys()
+    return out.drop(*[name for name in common if name not in profiles.columns])

@@ -115,10 +115,28 @@ def test_technology():
 
 
 def binding(adapter, **parameters):
-    end = {"rdw_socrata": "https://data.example.org/rows.json", "sirene_csv": "https://data.example.org/slice"}.get(adapter, "https://api.example.org/q")
+    end = {"rdw_socrata": channels.RDW_ENDPOINT, "sirene_csv": "https://data.example.org/slice"}.get(adapter, "https://api.example.org/q")
     return {"adapter": adapter, "endpoint": end, "assessment_ref": "a", "countries": ["FR"], "vehicle_classes": ["car"], "parameters": parameters, "max_pages": 2}
 
 
+def test_bindings_are_strict():
+    b = binding("overpass_json", bbox=[1, 1, 2, 2])
+    assert channels.validate_binding(b | {"countries": ["FR", "DE", "FR"]}) == b | {"countries": ["DE", "FR"], "parameters": {
+        "bbox": [1, 1, 2, 2], "tags": [{"key": "shop", "value": v} for v in ("car", "car_repair", "caravan", "motorcycle")], "row_limit": 500, "timeout_seconds": 25}}
+    assert channels.validate_binding(binding("rdw_socrata"))["parameters"] == {"page_size": 100}
+    registry = {"activity_codes": ["45.11Z"], "nomenclature": "NAF2025", "snapshot_date": "2026-01-01"}
+    wrong = [
+        b | {"max_pages": 5000}, b | {"max_pages": True}, b | {"countries": []}, b | {"countries": ["fr"]}, b | {"vehicle_classes": ["boat"]}, b | {"endpoint": "http://api.example.org/q"}, b | {"endpoint": "https://api.example.org/q?x=1"}, b | {"more": 1},
+        binding("searxng_json", format="html"), binding("searxng_json", anything="x"), binding("searxng_json", language="d e"), binding("overpass_json", timeout_seconds=61), binding("overpass_json", tags=[{"key": "shop", "value": "bakery"}]),
+        binding("overpass_json", tags=[]), binding("overpass_json", bbox=[0, 0, 3, 1]), binding("overpass_json", bbox=[0, 0, float("nan"), 1]), binding("overpass_json", bbox="0,0,1,1"), binding("rdw_socrata", page_size=2001), binding("rdw_socrata") | {"endpoint": "https://data.example.org/rows.json"},
+        binding("sirene_csv", **registry | {"nomenclature": "other"}), binding("sirene_csv", **registry | {"activity_codes": ["4511Z"]}), binding("sirene_csv", **registry | {"snapshot_date": "2026-02-30"}), binding("sirene_csv", activity_codes=["45.11Z"]), None,
+    ]
+    for x in wrong:
+        with pytest.raises(channels.Refused):
+            channels.validate_binding(x)
+    assert "format=json" in channels.request_url(binding("searxng_json", language="de"), {"query": "cars"}) and "language=de" in channels.request_url(binding("searxng_json", language="de"), {"query": "cars"})
+
+
 def test_search_channel():
     b = binding("searxng_json")
     body = {"results": [{"url": "https://A.example.com", "title": "T"}, {"url": "https://a.example.com/", "title": "U"}, {"url": "https://a.example.com/?token=1"}]}
@@ -168,6 +186,31 @@ def test_robots():
     assert robots.rules_for(text, "other")[1] == 3.0
 
 
+def test_robots_rules():
+    say = lambda text, path, agent="ourbot/1": robots.allowed(text, agent, "https://e.example.com" + path)
+    # The most specific agent, its groups together; an agent line without a name says nothing.
+    both = "User-agent: our\nDisallow: /\nUser-agent: ourbot\nAllow: /stock\nDisallow: /private\nUser-agent: *\nDisallow: /"
+    assert say(both, "/x") and not say(both, "/private") and not say(both, "/x", "other")
+    assert not say("User-agent:\nAllow: /\nUser-agent: *\nDisallow: /\n", "/x")
+    # Octets: encoded stars, dollars and slashes are no syntax; unreserved ones are the same either way.
+    rules = "User-agent: *\nDisallow: /a%2Ab\nDisallow: /c%2Fd\nDisallow: /%70rivate\nDisallow: /e$\nDisallow: /q?x=1\nDisallow: /caf%C3%A9"
+    assert [say(rules, p) for p in ("/azzzb", "/a*b", "/c/d", "/c%2fd", "/private", "/e", "/e/f", "/q", "/q?x=12", "/caf\u00e9")] == [True, False, True, False, False, False, True, True, False, False]
+    # The longest rule by what it holds besides wildcards.
+    assert say("User-agent: *\nDisallow: /*****\nAllow: /ab", "/ab") and not say("User-agent: *\nDisallow: /a*c$", "/abcbc") and say("User-agent: *\nDisallow: /a*c$", "/abcd")
+    assert not say("User-agent: *\nDisallow: " + "/a" + "*a" * 40 + "b", "/" + "a" * 60 + "b")
+    assert say("User-agent: *\nDisallow: " + "/a" + "*a" * 400 + "b", "/" + "a" * 3000)
+    for bad in (b"<!DOCTYPE html><p>", b"<html>", b"a\0b", b"\xff\xfe", b"garbage", b"User-agent: *\nCrawl-delay: 99", b"User-agent: *\nCrawl-delay: soon", b"\n" * 10_002, b"User-agent: *\n" + b"Disallow: /a\n" * 5001):
+        with pytest.raises(robots.Refused):
+            robots.allowed(bad, "x", "https://e.example.com/x")
+    assert say("# only a comment", "/x") and say("", "/x")
+
+
+def test_robots_table(spark):
+    rows = [("https://e.example.com/a", b"User-agent: *\nDisallow: /a"), ("https://e.example.com/b", b"User-agent: *\nDisallow: /a"), ("https://e.example.com/c", b"<html>"), ("https://e.example.com/d", None), (None, None)]
+    out = robots.decide(spark.createDataFrame(rows, "url string, robots binary"), "ourbot/1").collect()
+    assert [(r.allowed, r.refused) for r in out] == [(False, None), (True, None), (False, "not a rules document"), (True, None), (False, None)]
+
+
 def test_geography(spark):
     body = json.dumps([{"code": "01", "name": "Saint-É", "aliases": ["St É"]}, {"code": "02", "name": "Twin", "parent_code": "R1"}, {"code": "03", "name": "TWIN "}, {"code": "R1", "name": "Region", "level": "region"}]).encode()
     meta = {"country": "FR", "version": "1", "source_url": "https://x.example.com/", "observed_at": "2026-01-01T00:00:00Z", "body_sha256": hashlib.sha256(body).hexdigest()}
@@ -205,9 +248,17 @@ def test_canonical(spark):
 def test_cursor_and_content():
     import gzip
 
-    token = canonical.sign_cursor(b"k", {"tenant": "a", "expires": 900})
-    assert canonical.accept_cursor(b"k", token, {"tenant": "a"}, 899) and not canonical.accept_cursor(b"k", token, {"tenant": "a"}, 900)
-    assert not canonical.accept_cursor(b"k", token, {"tenant": "b"}, 1) and not canonical.accept_cursor(b"k", "x" + token, {"tenant": "a"}, 1)
+    old, new = canonical.Cursors({"a": b"k"}, "a"), canonical.Cursors({"a": b"k", "b": b"l"}, "b")
+    here = {"tenant": "a", "scope": "dealer:car", "snapshot": "s1"}
+    token = old.issue(here, {"after": "item-é", "n": 3}, 900)
+    assert old.open(token, here, 899.5) == new.open(token, here, 100) == {"after": "item-é", "n": 3}
+    others = [here | {"tenant": "b"}, here | {"scope": "dealer:lcv"}, here | {"snapshot": "s2"}, {}]
+    longer = token.replace(".900.", ".901.")
+    for given, context, now in [(token, here, 900), (token, here, 901), (longer, here, 1), ("x" + token, here, 1), ("", here, 1), (None, here, 1), (token[:-1], here, 1), (new.issue(here, 1, 900) + "0", here, 1), *[(token, o, 1) for o in others]]:
+        with pytest.raises(ValueError):
+            new.open(given, context, now)
+    with pytest.raises(ValueError):
+        old.open(new.issue(here, 1, 900), here, 1)
     body = gzip.compress(b"x" * 1000)
     assert canonical.inflate(body, "gzip", 1000) == b"x" * 1000
     for bad, most in ((body, 999), (body[:-4], 1000), (b"no", 10)):
