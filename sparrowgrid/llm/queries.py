@@ -117,17 +117,21 @@ ORACLE: dict[str, str] = {
     """,
     "op9_licenses": _licenses_sql(),
     "op8_warc": r"""
-        WITH laid AS (
-            SELECT page_id, coalesce(CAST(floor(page_id / 1000) AS BIGINT), -1) AS archive, coalesce(html, '') AS html,
-                'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
-                || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
-            FROM pages
-        ), hashed AS (SELECT page_id, archive, html, strlen(record) AS size, sha256(record) AS digest FROM laid)
-        SELECT page_id, archive,
-            row_number() OVER (PARTITION BY archive ORDER BY page_id, digest) - 1 AS seq,
-            CAST(sum(size) OVER (PARTITION BY archive ORDER BY page_id, digest ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS "begin",
-            CAST(sum(size) OVER (PARTITION BY archive ORDER BY page_id, digest ROWS UNBOUNDED PRECEDING) AS BIGINT) AS "end",
-            digest, NOT (html <> '' AND left(sha256(html), 1) = '0') AS intact
-        FROM hashed
+        WITH source AS (SELECT page_id, coalesce(url, '') AS url, html, sha256(coalesce(html, '')) AS d FROM pages),
+        both_ AS (
+            SELECT 1 AS side, page_id, url, coalesce(html, '') AS body, d FROM source
+            UNION ALL SELECT 2, page_id, url, CASE WHEN left(d, 1) = '0' AND html <> '' THEN '#' || substr(html, 2) ELSE coalesce(html, '') END, d FROM source WHERE left(d, 1) <> '1'
+            UNION ALL SELECT 2, page_id, url, 'extra' || coalesce(html, ''), '' FROM source WHERE left(d, 1) = '2'
+        ), named AS (SELECT *, sha256(concat_ws(' ', coalesce(page_id::VARCHAR, ''), url)) AS h FROM both_),
+        laid AS (
+            SELECT *, concat_ws(chr(13) || chr(10), 'WARC/1.1', 'WARC-Type: resource', 'WARC-Record-ID: <urn:uuid:' || left(h, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-8' || substr(h, 18, 3) || '-' || substr(h, 21, 12) || '>',
+                'WARC-Date: 1970-01-01T00:00:00Z', 'WARC-Target-URI: ' || url, 'Content-Type: text/html', 'Content-Length: ' || strlen(body), '', body, '', '') AS record FROM named
+        ), hashed AS (SELECT side, page_id, coalesce(CAST(floor(page_id / 1000) AS BIGINT), -1) AS archive, d, strlen(record) AS size, sha256(record) AS digest FROM laid),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY side, archive ORDER BY page_id, digest) - 1 AS seq, CAST(sum(size) OVER (PARTITION BY side, archive ORDER BY page_id, digest ROWS UNBOUNDED PRECEDING) AS BIGINT) AS "end" FROM hashed
+        )
+        SELECT page_id, archive, 0 AS part, seq, "end" - size AS "begin", "end", digest,
+            CASE WHEN side = 2 THEN 'extra' WHEN left(d, 1) = '1' THEN 'missing' WHEN left(d, 1) = '0' AND d <> sha256('') THEN 'changed' ELSE 'intact' END AS kind
+        FROM placed WHERE side = 1 OR d = ''
     """,
 }
