@@ -5,14 +5,15 @@ taken as a mixture of languages; expectation-maximisation estimates its proporti
 The language set is the one of the highest penalised likelihood: for k = 1, 2, ... the k largest languages are refitted, and
 each language beyond the first has to earn ``PENALTY`` times the logarithm of the number of trigrams.
 
-Edge cases: null texts and texts without a letter are ``und`` with score 0; without training rows all are ``und``;
-rows with a null doc_id or lang are never learned from; repeated rows repeat; texts of any length are read whole.
+A model holds at most ``MOST_LANGUAGES`` languages, those with the most training rows (ties by name): this is the bound of the classifier's fit and of what is sent along
+(128 KB a language). Of equal likelihoods and shares the language that is first by name counts.
+
+Edge cases: null texts and texts without a letter (Unicode category L) are ``und`` with score 0 and no languages; without training rows all are ``und``;
+rows with a null doc_id or lang are never learned from; repeated rows repeat; texts of any length are read whole; columns called like those added are replaced.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +28,15 @@ ROUNDS = 12
 #: Digits, white space and ASCII punctuation end a word and count as one boundary byte.
 _FOLD = LOWER.copy()
 _FOLD[[*range(0x00, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = 0x20
-_LETTER = re.compile(r"[^\W\d_]")
+#: Languages that a model holds.
+MOST_LANGUAGES = 512
+
+
+def has_letter(raw: bytes) -> bool:
+    """Whether a text has a character of Unicode category L; bytes cut in two count as none."""
+    import regex
+
+    return regex.search(r"\p{L}", raw.decode("utf-8", "ignore")) is not None
 
 
 def grams(buf: np.ndarray) -> np.ndarray:
@@ -40,99 +49,104 @@ def grams(buf: np.ndarray) -> np.ndarray:
     return ((key * np.uint32(0x9E3779B1)) >> np.uint32(17)).astype(np.int64)
 
 
-def count_grams(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """lang, bucket, n over all rows; each task adds up before anything is shuffled."""
+def count_grams(docs: DataFrame, text: str = "text", lang: str = "lang", most: int = MOST_LANGUAGES) -> DataFrame:
+    """lang, bucket, n over all rows of the ``most`` languages with the most rows; each task adds up before anything is shuffled."""
+    known = docs.filter(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "lang").limit(most)
+    names = sorted(r["lang"] for r in known.collect())
+    place = {name: k for k, name in enumerate(names)}
 
     def run(batches):
         import pyarrow as pa
 
-        totals: dict[str, np.ndarray] = {}
+        totals: dict[int, np.ndarray] = {}
         for batch in batches:
-            langs = batch.column(1).to_pylist()
+            langs = [place.get(x) for x in batch.column(1).to_pylist()]
             for first, end, buf, offsets in slices(batch.column(0)):
                 for k in range(first, end):
-                    own = totals.setdefault(langs[k], np.zeros(BUCKETS, np.int64))
-                    own += np.bincount(grams(buf[offsets[k - first] : offsets[k - first + 1]]), minlength=BUCKETS)
-        for name, own in totals.items():
+                    if langs[k] is not None:
+                        own = totals.setdefault(langs[k], np.zeros(BUCKETS, np.int64))
+                        own += np.bincount(grams(buf[offsets[k - first] : offsets[k - first + 1]]), minlength=BUCKETS)
+        for which, own in totals.items():
             at = np.flatnonzero(own)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(own[at])], ["lang", "bucket", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([names[which]] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(own[at])], ["lang", "bucket", "n"])
 
     return docs.select(text, lang).mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
-def mixture(log_p: np.ndarray, p: np.ndarray, c: np.ndarray) -> tuple[int, float]:
-    """The main language's row and its share. p: languages x distinct trigrams; c: their counts."""
-    total = c.sum()
+def fitted(p: np.ndarray, c: np.ndarray, start: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
+    """Shares of the languages (rows of p) by expectation-maximisation, and their log-likelihood. c: counts of the trigrams (columns)."""
+    share, total = start, c.sum()
+    for _ in range(rounds):
+        new = share * (p @ (c / (share @ p))) / total
+        done = np.abs(new - share).max() < 1e-3
+        share = new
+        if done:
+            break
+    return share, float(c @ np.log(share @ p))
+
+
+def mixture(log_p: np.ndarray, p: np.ndarray, c: np.ndarray) -> tuple[list[int], list[float]]:
+    """The language set of the highest penalised likelihood, largest share first, and its shares. p: languages x distinct trigrams; c: their counts."""
     alone = log_p @ c
     if len(p) == 1:
-        return 0, 1.0
-
-    def em(rows: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, float]:
-        q, share = p[rows], start
-        for _ in range(ROUNDS):
-            mixed = share @ q
-            new = share * (q @ (c / mixed)) / total
-            done = np.abs(new - share).max() < 1e-3
-            share = new
-            if done:
-                break
-        return share, float(c @ np.log(share @ q))
-
-    every = np.arange(len(p))
-    start = np.exp((alone - alone.max()) / max(total, 1) * 4)
-    share, _ = em(every, start / start.sum())
+        return [0], [1.0]
+    start = np.exp((alone - alone.max()) / max(c.sum(), 1) * 4)
+    share, _ = fitted(p, c, start / start.sum())
     order = np.argsort(-share, kind="stable")
     single = int(alone.argmax())
-    best, main, part = float(alone[single]), single, 1.0
+    best, found, parts = float(alone[single]), [single], [1.0]
     for k in range(2, len(p) + 1):
         rows = order[:k]
         if share[rows[-1]] < 0.02:
             break
-        own, fit = em(rows, share[rows] / share[rows].sum())
-        if fit - PENALTY * (k - 1) * np.log(total + 1) <= best:
+        own, fit = fitted(p[rows], c, share[rows] / share[rows].sum())
+        fit -= PENALTY * (k - 1) * np.log(c.sum() + 1)
+        if fit <= best:
             break
-        best = fit - PENALTY * (k - 1) * np.log(total + 1)
-        main, part = int(rows[own.argmax()]), float(own.max())
-    return main, part
+        by_share = np.lexsort((rows, -own))
+        best, found, parts = fit, rows[by_share].tolist(), own[by_share].tolist()
+    return found, parts
 
 
 def identify(df: DataFrame, counts: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """df's columns (or those of keep) and ``lang_pred``, ``score``; counts as ``count_grams`` gives them (languages x BUCKETS)."""
-    names = [c for c in (df.columns if keep is None else keep) if c not in ("lang_pred", "score")]
+    """df's columns (or those of keep) and ``lang_pred``, ``score`` (the main language and its share), ``languages`` (all of the set, largest share first); counts as ``count_grams`` gives them."""
+    added = ("lang_pred", "score", "languages")
+    names = [c for c in (df.columns if keep is None else keep) if c not in added]
+    # At most MOST_LANGUAGES x BUCKETS rows.
     table = counts.toPandas()
     langs = sorted(table["lang"].unique())
     n = np.zeros((len(langs), BUCKETS))
     if langs:
         n[np.searchsorted(langs, table["lang"]), table["bucket"]] = table["n"]
-    p = ((n + 0.5) / (n + 0.5).sum(axis=1, keepdims=True)).astype(np.float64) if langs else n
-    log_p = np.log(p) if langs else n
-    model = df.sparkSession.sparkContext.broadcast((langs, p, log_p))
+        n = np.log((n + 0.5) / (n + 0.5).sum(axis=1, keepdims=True))
+    model = df.sparkSession.sparkContext.broadcast((langs, n.astype(np.float32)))
     source = df.select(*dict.fromkeys([*names, text]))
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in source.select(*names).dtypes), "lang_pred string", "score double"])
+    schema = ", ".join([*(f"`{c}` {t}" for c, t in source.select(*names).dtypes), "lang_pred string, score double, languages array<string>"])
 
     def run(batches):
         import pyarrow as pa
 
-        langs, p, log_p = model.value
+        langs, log_p = model.value
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))
-            pred, score = ["und"] * len(column), [0.0] * len(column)
+            pred, score, every = ["und"] * len(column), [0.0] * len(column), [[] for _ in range(len(column))]
             for first, end, buf, offsets in slices(column) if langs else ():
                 for k in range(first, end):
                     own = buf[offsets[k - first] : offsets[k - first + 1]]
-                    if not _LETTER.search(own[:400].tobytes().decode("utf-8", "ignore")) and not _LETTER.search(own.tobytes().decode("utf-8", "ignore")):
+                    if not has_letter(own[:400].tobytes()) and not has_letter(own.tobytes()):
                         continue
                     c = np.bincount(grams(own), minlength=BUCKETS)
                     at = np.flatnonzero(c)
-                    main, part = mixture(log_p[:, at], p[:, at], c[at].astype(float))
-                    pred[k], score[k] = langs[main], min(1.0, part)
-            yield pa.RecordBatch.from_arrays([*batch.select(names).columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())], [*names, "lang_pred", "score"])
+                    own_p = log_p[:, at].astype(float)
+                    found, parts = mixture(own_p, np.exp(own_p), c[at].astype(float))
+                    pred[k], score[k], every[k] = langs[found[0]], min(1.0, parts[0]), [langs[x] for x in found]
+            yield pa.RecordBatch.from_arrays([*batch.select(names).columns, pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(every, pa.list_(pa.string()))], [*names, *added])
 
     return source.mapInArrow(run, schema)
 
 
 def learn_and_identify(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score; learned from the rows whose crc32 remainder by 4 is not 2."""
+    """doc_id, held_out, lang_pred, score, languages; learned from the rows whose crc32 remainder by 4 is not 2."""
     out = held_out(F.col("doc_id"), 4, 2)
     counts = count_grams(docs.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~out))
-    return identify(docs, counts, keep=["doc_id"]).select("doc_id", out.alias("held_out"), "lang_pred", "score")
+    return identify(docs, counts, keep=["doc_id"]).select("doc_id", out.alias("held_out"), "lang_pred", "score", "languages")

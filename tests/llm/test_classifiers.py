@@ -49,9 +49,58 @@ def test_language(spark):
 
 def test_languages_of_a_mixture():
     p = np.array([[0.5, 0.4, 0.05, 0.05], [0.05, 0.05, 0.4, 0.5]])
-    main, share = language.mixture(np.log(p), p, np.array([300.0, 200, 90, 110]))
-    assert main == 0 and 0.6 < share < 0.85
-    assert language.mixture(np.log(p), p, np.array([300.0, 300, 30, 30]))[1] == 1.0
+    found, shares = language.mixture(np.log(p), p, np.array([300.0, 200, 90, 110]))
+    assert found == [0, 1] and 0.6 < shares[0] < 0.85
+    assert language.mixture(np.log(p), p, np.array([300.0, 300, 30, 30])) == ([0], [1.0])
+    # Equal likelihoods: the first.
+    same = np.array([[0.5, 0.5], [0.5, 0.5]])
+    assert language.mixture(np.log(same), same, np.array([5.0, 5.0])) == ([0], [1.0])
+
+
+def plain_em(p, c, rows):
+    """Shares and likelihood of a language set, by the textbook: expected counts of each trigram in each language, a thousand rounds."""
+    share = {r: 1 / len(rows) for r in rows}
+    for _ in range(1000):
+        got = dict.fromkeys(rows, 0.0)
+        for g, n in enumerate(c):
+            whole = sum(share[r] * p[r][g] for r in rows)
+            for r in rows:
+                got[r] += n * share[r] * p[r][g] / whole
+        share = {r: got[r] / sum(c) for r in rows}
+    return share, sum(n * np.log(sum(share[r] * p[r][g] for r in rows)) for g, n in enumerate(c))
+
+
+def test_language_sets_against_all_subsets():
+    from itertools import combinations
+
+    rng = np.random.default_rng(12)
+    right = 0
+    for _ in range(40):
+        p = rng.dirichlet(np.full(12, 0.4), 3) * 0.98 + 0.02 / 12
+        truth = rng.choice([0, 1, 2], rng.integers(1, 3), replace=False)
+        shares = rng.dirichlet(np.full(len(truth), 3.0))
+        c = rng.multinomial(400, shares @ p[truth] / (shares @ p[truth]).sum()).astype(float)
+        best = max((plain_em(p, c, rows)[1] - language.PENALTY * (len(rows) - 1) * np.log(c.sum() + 1), rows) for k in (1, 2, 3) for rows in combinations(range(3), k))
+        found, parts = language.mixture(np.log(p), p, c)
+        plain, fit = plain_em(p, c, tuple(found))
+        assert np.allclose([plain[r] for r in found], parts, atol=0.05)
+        # The set found is the best of all subsets, or as good but for a few units of likelihood.
+        assert fit - language.PENALTY * (len(found) - 1) * np.log(c.sum() + 1) > best[0] - 8
+        right += sorted(found) == list(best[1])
+    assert right >= 37
+
+
+def test_more_languages_than_a_model_holds(spark):
+    rows = [("the cat and the hat", "en")] * 9 + [("der hund und die katze", "de")] * 8 + [(f"x{k} y{k}", f"dirty{k}") for k in range(60)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    assert {r.lang for r in language.count_grams(docs, most=2).select("lang").distinct().collect()} == {"en", "de"}
+
+
+def test_letters_are_letters(docs, spark):
+    counts = language.count_grams(spark.createDataFrame([("the cat and the hat", "en")], "text string, lang string"))
+    texts = ["²³½", "Ⅷ", "123 !_", "७८", "a", "ª", "漢", "1 é"]
+    out = {r.doc_id: (r.lang_pred, r.languages) for r in language.identify(docs(list(enumerate(texts))), counts).collect()}
+    assert [out[k][0] for k in range(8)] == ["und"] * 4 + ["en"] * 4 and out[0][1] == [] and out[4][1] == ["en"]
 
 
 def test_trees_walk_as_they_say():
