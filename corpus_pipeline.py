@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sparrowgrid.llm import bpe, decontaminate, line_dedup, ngram_join, quality
 from sparrowgrid.llm.queries import bpe_path
-from sparrowgrid.llm.shared import ready, through_parquet
+from sparrowgrid.llm.shared import discard, free, ready, through_parquet
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,9 +22,12 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines are taken out; a document that loses lines and has nothing but blanks left goes."""
     ready(spark)
-    out = line_dedup.dedup(docs).filter((F.col("n_removed") == 0) | F.col("text").rlike(r"(?U)\S"))
+    # Names of its own, so that no column of the input is taken for one of them.
+    added = tuple(free(docs.columns, c) for c in ("_lines", "_removed", "_left"))
+    removed = F.col(added[1])
+    out = line_dedup.dedup(docs, added=added).filter((removed == 0) | F.col("text").rlike(r"(?U)\S"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.when(removed > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
 
 
@@ -53,12 +56,14 @@ STAGES = [
     ("BPE encoding", token_ids),
 ]
 
-#: The classifier, SimHash, spaced seeds and BPE are beyond SQL; tests hold the stages against brute-force versions.
+#: The classifier, edit similarity, spaced seeds and BPE are beyond SQL; tests hold the stages against brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, written = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for k, (_, stage) in enumerate(STAGES):
-        docs = through_parquet(stage(spark, docs, sf_dir), f"stage{k}")
+        docs = through_parquet(stage(spark, docs, sf_dir), f"stage{k}", written)
+    # Only the last stage's table is read from here on.
+    discard(spark, written[:-1])
     return docs

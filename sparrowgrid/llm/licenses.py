@@ -9,9 +9,10 @@ included (length filter). What is left is counted exactly.
 
 Fixed phrases are found beside it wherever their words stand consecutively, across lines too.
 
-The template table is a parameter; it is small and fixed, and its size is checked (``MOST_TEMPLATE_WORDS``).
+An index from prefix words to templates tells which templates a block is tried against. The template table is a parameter; it is sent along in blocks of at most
+``MOST_TEMPLATE_WORDS`` words (a longer template is a block of its own), each of which takes a pass over the texts, so that any table gives the same labels.
 
-Edge cases: a null text is empty; texts without words have null first_word and last_word and empty labels; repeated
+Edge cases: columns called like those added are replaced; a null text is empty; texts without words have null first_word and last_word and empty labels; repeated
 rows repeat; lines and texts of any length are read whole.
 """
 
@@ -23,6 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import free, through_parquet
 from .textnp import NOT_ALNUM, slices, words
 
 #: Phrases and their labels.
@@ -41,7 +43,7 @@ TEMPLATES = [
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
 ]
 THRESHOLD = 0.8
-#: A template table beyond this many words is refused: it would have to be joined, not sent along.
+#: Words of the template table that are sent along at a time.
 MOST_TEMPLATE_WORDS = 1_000_000
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -89,19 +91,30 @@ class Scanner:
                 self.templates.append((label, hash_words(distinct), need, len(distinct) - need + 1))
                 self.spans.append(-(-len(words_of(text)) * 1000 // int(round(threshold * 1000))))
         self.phrases = [(label, hash_words(words_of(text))) for text, label in phrases.items()]
-        self.prefix = np.unique(np.concatenate([h[:k] for _, h, _, k in self.templates])) if self.templates else np.zeros(0, np.uint64)
+        # Prefix words with their templates, by word.
+        self.prefix = np.concatenate([h[:k] for _, h, _, k in self.templates]) if self.templates else np.zeros(0, np.uint64)
+        self.of = np.repeat(np.arange(len(self.templates)), [k for _, _, _, k in self.templates])
+        order = np.argsort(self.prefix, kind="stable")
+        self.prefix, self.of = self.prefix[order], self.of[order]
         self.maybe = np.zeros(1 << 16, bool)
         self.maybe[(self.prefix & np.uint64(0xFFFF)).astype(np.int64)] = True
         self.known = np.zeros(1 << 16, bool)
         for _, t, _, _ in self.templates:
             self.known[(t & np.uint64(0xFFFF)).astype(np.int64)] = True
 
-    def windows(self, h: np.ndarray, row_of: np.ndarray):
-        """(row, label, containment) of the windows of words that contain a template."""
+    def tried(self, h: np.ndarray) -> np.ndarray:
+        """Templates that have one of these words in their prefix."""
+        h = np.unique(h)
+        a, b = np.searchsorted(self.prefix, h, "left"), np.searchsorted(self.prefix, h, "right")
+        return np.unique(np.concatenate([self.of[x:y] for x, y in zip(a, b)])) if len(h) else np.zeros(0, np.int64)
+
+    def windows(self, h: np.ndarray, row_of: np.ndarray, tried: np.ndarray):
+        """(row, label, containment) of the windows of words that contain one of the templates to be tried."""
         known = np.flatnonzero(self.known[(h & np.uint64(0xFFFF)).astype(np.int64)])
-        for (label, t, need, prefix), span in zip(self.templates, self.spans):
+        for which in tried.tolist():
+            (label, t, need, _), span = self.templates[which], self.spans[which]
             at = known[np.isin(h[known], t)]
-            if len(at) < need or not np.isin(t[:prefix], h[at]).any():
+            if len(at) < need:
                 continue
             # A window may as well begin at a template's word.
             start = np.flatnonzero((at[need - 1 :] - at[: len(at) - need + 1] < span) & (row_of[at[need - 1 :]] == row_of[at[: len(at) - need + 1]]))
@@ -133,15 +146,14 @@ class Scanner:
                 breaks = np.flatnonzero(buf == 10)
                 # A line's end, or a text's: whichever bounds the block that a word stands in.
                 edges = np.union1d(np.union1d(breaks, offsets), [0, len(buf)])
-                seen = set()
-                for a in hit:
+                line = np.searchsorted(edges, starts[hit], "right")
+                for own_hits in np.split(hit, np.flatnonzero(np.diff(line)) + 1):
+                    a = own_hits[0]
                     e = int(np.searchsorted(edges, starts[a], "right"))
-                    if e in seen:
-                        continue
-                    seen.add(e)
                     lo, hi = np.searchsorted(starts, [edges[e - 1], edges[e] if e < len(edges) else len(buf)])
                     block = np.unique(h[lo:hi])
-                    for label, t, need, prefix in self.templates:
+                    for which in self.tried(h[own_hits]).tolist():
+                        label, t, need, prefix = self.templates[which]
                         if len(block) < need:
                             continue
                         found = 0
@@ -153,7 +165,7 @@ class Scanner:
                         else:
                             own = more.setdefault(int(row_of[a]), {})
                             own[label] = max(own.get(label, 0.0), found / len(t))
-            for k, label, part in self.windows(h, row_of):
+            for k, label, part in self.windows(h, row_of, self.tried(h[hit])):
                 own = more.setdefault(k, {})
                 own[label] = max(own.get(label, 0.0), part)
             for k in range(end - first):
@@ -164,24 +176,49 @@ class Scanner:
         return out
 
 
-def scan(df: DataFrame, templates: list[tuple[str, str]] | None = None, phrases: dict[str, str] | None = None, threshold: float = THRESHOLD, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def scan(df: DataFrame, templates: list[tuple[str, str]] | None = None, phrases: dict[str, str] | None = None, threshold: float = THRESHOLD, text: str = "text", keep: list[str] | None = None, most_words: int = MOST_TEMPLATE_WORDS) -> DataFrame:
     """df's columns (or those of keep) and n_words, n_base, first_word, last_word, base_labels, labels, score."""
     templates, phrases = TEMPLATES if templates is None else templates, PHRASES if phrases is None else phrases
-    vocabulary = [w for _, t in templates for w in words_of(t)]
-    if len(vocabulary) > MOST_TEMPLATE_WORDS:
-        raise ValueError(f"{len(vocabulary)} template words are more than {MOST_TEMPLATE_WORDS}")
-    scanner = Scanner(templates, phrases, count_words(df, vocabulary, text), threshold)
+    blocks, size = [[]], 0
+    for label, t in templates:
+        n = len(words_of(t))
+        if size and size + n > most_words:
+            blocks.append([])
+            size = 0
+        blocks[-1].append((label, t))
+        size += n
     added = {"n_words": "long", "n_base": "long", "first_word": "long", "last_word": "long", "base_labels": "string", "labels": "string", "score": "double"}
     names = [c for c in (df.columns if keep is None else keep) if c not in added]
-    source = df.select(*dict.fromkeys([*names, text]))
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in source.select(*names).dtypes), *(f"{c} {t}" for c, t in added.items())])
+    held = free([*names, *added], "_scanned")
+    source = df.select(*names, F.col(text).alias(held))
+    written: list[str] = []
+    for k, block in enumerate(blocks):
+        # Before each further pass, what was found is written with the texts.
+        out = _passed(source if k == 0 else through_parquet(source, "licenses", written), held, names, added, block, phrases if k == 0 else {}, threshold)
+        source = out
+    return out.select(*names, *added)
+
+
+def _passed(source: DataFrame, text: str, names: list[str], added: dict[str, str], templates: list, phrases: dict[str, str], threshold: float) -> DataFrame:
+    """source with what these templates and phrases tell besides what it says already."""
+    scanner = Scanner(templates, phrases, count_words(source, [w for _, t in templates for w in words_of(t)], text), threshold)
+    before = all(c in source.columns for c in added)
+    columns = source.columns
+    schema = ", ".join([*(f"`{c}` {t}" for c, t in source.select(*names, text).dtypes), *(f"{c} {t}" for c, t in added.items())])
+
+    def joined(old: tuple, new: tuple) -> tuple:
+        labels = sorted({*filter(None, old[5].split(",")), *filter(None, new[5].split(","))})
+        return (*old[:5], ",".join(labels), max(old[6], new[6]))
 
     def run(batches):
         import pyarrow as pa
 
         types = {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}
         for batch in batches:
-            found = [*zip(*scanner.scan(batch.column(batch.schema.get_field_index(text))))] or [()] * len(added)
-            yield pa.RecordBatch.from_arrays([*batch.select(names).columns, *(pa.array(x, types[t]) for x, t in zip(found, added.values()))], [*names, *added])
+            found = scanner.scan(batch.column(columns.index(text)))
+            if before:
+                found = [joined(o, n) for o, n in zip(zip(*(batch.column(columns.index(c)).to_pylist() for c in added)), found)]
+            found = [*zip(*found)] or [()] * len(added)
+            yield pa.RecordBatch.from_arrays([*(batch.column(columns.index(c)) for c in (*names, text)), *(pa.array(x, types[t]) for x, t in zip(found, added.values()))], [*names, text, *added])
 
     return source.mapInArrow(run, schema)

@@ -58,3 +58,23 @@ def test_wrapped_texts_are_found(docs):
     rows = [(1, mit), (2, gpl), (3, "\n".join(lic.words_of(mit))), (4, apart), (5, "some words\n" * 30 + gpl + "some words\n" * 30), (6, mit[:40]), (7, mit[40:])]
     found = {r.doc_id: (r.labels, r.score) for r in lic.scan(docs(rows)).collect()}
     assert found == {1: ("mit", 1.0), 2: ("gpl-3", 1.0), 3: ("mit", 1.0), 4: ("", 0.0), 5: ("gpl-3", 1.0), 6: ("", 0.0), 7: ("", 0.0)}
+
+
+def test_any_size_of_template_table_gives_the_same(docs):
+    rows = [*ODD, (10, "released under the mit license\n" + " ".join(t for _, t in lic.TEMPLATES[3:6])), (11, lic.TEMPLATES[8][1]), (12, "cc by nc " + lic.TEMPLATES[9][1])]
+    key = lambda r: (r.doc_id or 0, r.text or "")
+    one, many = (sorted(lic.scan(docs(rows), most_words=n).collect(), key=key) for n in (1_000_000, 20))
+    assert one == many and {r.doc_id: r.labels for r in one}[12] == "cc-by-nc,mpl-2"
+
+
+def test_many_templates(docs):
+    """Each block is tried only against templates that share a word of their prefix with it."""
+    templates = [(f"l{k}", " ".join(f"w{k}x{j}" for j in range(12)) + " the same last words") for k in range(3000)]
+    rows = [(k, f"before it\n{templates[k * 7][1]}\nafter") for k in range(40)]
+    assert {r.doc_id: r.labels for r in lic.scan(docs(rows), templates=templates, phrases={}).collect()} == {k: f"l{k * 7}" for k in range(40)}
+
+
+def test_one_very_long_text(docs):
+    text = "word " * 3_000_000 + "this work is licensed under the gnu\ngeneral public license version 3"
+    r = lic.scan(docs([(1, text)])).first()
+    assert (r.n_words, r.labels, r.score) == (3_000_012, "gpl-3", 1.0)
