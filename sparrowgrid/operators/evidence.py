@@ -154,18 +154,28 @@ def upsert_pages(pages: DataFrame) -> DataFrame:
 
 
 def first_wins(rows: DataFrame, keys: list[str], order: list[str], hint: str | None = None) -> DataFrame:
-    """Of rows with equal keys the first in order stays, with the first label that is not empty and up to 8 hints of 4096 characters together."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    label = F.first(F.when(F.col("label") != "", F.col("label")), ignorenulls=True).over(whole)
-    out = rows.withColumns({"_nth": F.row_number().over(w), "label": F.coalesce(label, F.lit(""))})
+    """Of rows with equal keys the first in order stays, with the first label that is not empty and up to 8 hints of 4096 characters together.
+
+    Rows and hints are folded by key with a map-side combine; of hints only the distinct ones of a key come together, each once.
+    """
+    place = F.struct(*order)
+    label = F.col("label") != ""
+    rest = [c for c in rows.columns if c not in (*keys, "label")]
+    out = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), place).alias("_row"), F.coalesce(F.min_by(F.when(label, F.col("label")), F.when(label, place)), F.lit("")).alias("label"))
+    out = out.select(*keys, "label", "_row.*")
     if hint:
-        seen = F.array_distinct(F.filter(F.collect_list(hint).over(whole), lambda x: x.isNotNull()))
+        seen = rows.filter(F.col(hint).isNotNull()).groupBy(*keys, F.col(hint).alias("_hint")).agg(F.min(place).alias("_at"))
+        listed = seen.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_hint"))), lambda x: x["_hint"]).alias("_seen"))
         start = F.struct(F.array().cast("array<string>").alias("kept"), F.lit(0).alias("chars"))
         # Each next hint is taken if there is room for it.
-        fold = F.aggregate(seen, start, lambda acc, x: F.when((F.size(acc["kept"]) < 8) & (acc["chars"] + F.length(x) <= 4096), F.struct(F.array_append(acc["kept"], x).alias("kept"), (acc["chars"] + F.length(x)).alias("chars"))).otherwise(acc))
-        out = out.withColumns({"hints": fold["kept"], "hints_truncated": F.size(fold["kept"]) < F.size(seen)})
-    return out.filter("_nth = 1").drop("_nth")
+        fold = F.aggregate("_seen", start, lambda acc, x: F.when((F.size(acc["kept"]) < 8) & (acc["chars"] + F.length(x) <= 4096), F.struct(F.array_append(acc["kept"], x).alias("kept"), (acc["chars"] + F.length(x)).alias("chars"))).otherwise(acc))
+        folded = listed.select(*[F.col(k).alias(f"_{k}") for k in keys], fold["kept"].alias("hints"), (F.size(fold["kept"]) < F.size("_seen")).alias("hints_truncated"))
+        met = None
+        for k in keys:
+            same = F.col(k).eqNullSafe(F.col(f"_{k}"))
+            met = same if met is None else met & same
+        out = out.join(folded, met, "left").drop(*[f"_{k}" for k in keys]).withColumns({"hints": F.coalesce("hints", F.array().cast("array<string>")), "hints_truncated": F.coalesce("hints_truncated", F.lit(False))})
+    return out.select(*rows.columns, *(("hints", "hints_truncated") if hint else ()))
 
 
 def integrity(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:

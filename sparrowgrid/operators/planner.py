@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import order
+
 
 def round_robin(items: DataFrame, lane: str, index: str) -> DataFrame:
     """items with ``ordinal`` (from 0): first items of all lanes, then the second ones, in lane order.
@@ -12,7 +14,7 @@ def round_robin(items: DataFrame, lane: str, index: str) -> DataFrame:
     index is the place within the lane. Rounds are numbered by their sizes, so no window spans all items.
     """
     sizes = items.groupBy(index).agg(F.count("*").alias("_n"))
-    before = sizes.select(index, F.coalesce(F.sum("_n").over(Window.orderBy(index).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    before = order.before(sizes, index, "_n", "_before").select(index, "_before")
     place = F.row_number().over(Window.partitionBy(index).orderBy(lane)) - 1
     return items.withColumn("_place", place).join(before, index).withColumn("ordinal", F.col("_before") + F.col("_place")).drop("_before", "_place")
 

@@ -5,6 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import order
+
+
+def _number(df: DataFrame, column: str) -> Column:
+    """A column as a number in the same order: times as microseconds."""
+    kind = df.schema[column].dataType.simpleString()
+    return F.unix_micros(F.col(column).cast("timestamp")) if kind.startswith("timestamp") else F.col(column).cast("double")
+
 
 def claim_order(tasks: DataFrame, last_claim: str = "last_claim", stratum: str = "stratum", created: str = "created_at", priority: str = "priority", key: str = "task_key") -> DataFrame:
     """tasks with ``claim``: the place in which each would be claimed from a static queue.
@@ -15,10 +23,11 @@ def claim_order(tasks: DataFrame, last_claim: str = "last_claim", stratum: str =
     inside = Window.partitionBy(stratum).orderBy(created, F.desc(priority), key)
     ranked = tasks.withColumn("_round", F.row_number().over(inside))
     # The order of strata in their first round holds in all later rounds.
-    heads = ranked.filter("_round = 1").withColumn("_turn", F.row_number().over(Window.orderBy(last_claim, created, F.desc(priority), key))).select(stratum, "_turn")
+    first = ranked.filter("_round = 1")
+    heads = order.ranked(first.withColumns({"_back": -F.col(priority), "_number": _number(first, last_claim)}), "_number", "_turn", (last_claim, created, "_back", key)).select(stratum, "_turn")
     met = ranked.join(heads, stratum)
     sizes = met.groupBy("_round").agg(F.count("*").alias("n"))
-    before = sizes.select("_round", (F.sum("n").over(Window.orderBy("_round").rowsBetween(Window.unboundedPreceding, -1))).alias("_before"))
+    before = order.before(sizes, "_round", "n", "_before").select("_round", "_before")
     place = F.row_number().over(Window.partitionBy("_round").orderBy("_turn"))
     return met.join(before, "_round").withColumn("claim", F.coalesce("_before", F.lit(0)) + place).drop("_round", "_turn", "_before")
 

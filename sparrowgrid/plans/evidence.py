@@ -289,10 +289,10 @@ def content_addressed_artifacts(spark, d):
 
 
 @query("candidate_keys", """
-    SELECT page_id, sha256('["' || url || '","source"]') AS candidate_key FROM pages WHERE url NOT LIKE '%"%'
+    SELECT page_id, sha256('[' || coalesce('"' || replace(replace(url, '\\', '\\\\'), '"', '\\"') || '"', 'null') || ',"source"]') AS candidate_key FROM pages
 """)
 def candidate_keys(spark, d):
-    return table(spark, d, "pages").filter("url not like '%\"%'").select("page_id", canonical.candidate_key(F.col("url"), F.lit("source")).alias("candidate_key"))
+    return table(spark, d, "pages").select("page_id", canonical.candidate_key(F.col("url"), F.lit("source")).alias("candidate_key"))
 
 
 @query("evidence_integrity", "SELECT count(*) AS violations FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)")
@@ -300,7 +300,9 @@ def evidence_integrity(spark, d):
     return evidence.integrity(table(spark, d, "lineitem"), table(spark, d, "orders"), "l_orderkey", "o_orderkey").agg(F.count("*").alias("violations"))
 
 
-@query("normalized_locators")
+@query("normalized_locators", r"""
+    SELECT page_id, lower(regexp_extract(url, '^(\w+://[^/?#]*)', 1)) || coalesce(nullif(regexp_extract(url, '^\w+://[^/?#]*([^?#]*)', 1), ''), '/') || regexp_extract(url, '^\w+://[^/?#]*[^?#]*(.*)$', 1) AS locator FROM pages
+""")
 def normalized_locators(spark, d):
     return table(spark, d, "pages").select("page_id", urls.normalize_url("url").alias("locator"))
 

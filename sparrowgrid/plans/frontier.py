@@ -165,13 +165,13 @@ def schedule_shares(spark, d):
 
 
 @query("place_resolve", """
-    WITH i AS (SELECT DISTINCT p_partkey AS code, lower(p_name) AS k FROM part), q AS (SELECT DISTINCT lower(p_name) AS name FROM part WHERE p_size < 5 UNION SELECT 'no such place')
+    WITH i AS (SELECT DISTINCT p_partkey AS code, lower(p_name) AS k FROM part), q AS (SELECT DISTINCT lower(p_name) AS name FROM part UNION SELECT 'no such place')
     SELECT name, CASE WHEN count(code) = 0 THEN 'unknown' WHEN count(code) = 1 THEN 'matched' ELSE 'ambiguous' END AS status, CASE WHEN count(code) = 1 THEN min(code) END AS code, count(code)::INTEGER AS candidates FROM q LEFT JOIN i ON k = name GROUP BY name
 """)
 def place_resolve(spark, d):
     units = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("code"), F.col("p_name").alias("name"), F.lit(None).cast("string").alias("region"))
     index = geography.name_index(units, canonical.ascii_name_key, aliases=None)
-    asked = table(spark, d, "part").filter("p_size < 5").select(F.lower("p_name").alias("name")).distinct().unionAll(spark.createDataFrame([("no such place",)], "name string"))
+    asked = table(spark, d, "part").select(F.lower("p_name").alias("name")).distinct().unionAll(spark.createDataFrame([("no such place",)], "name string"))
     out = geography.resolve(asked, index, canonical.ascii_name_key(F.col("name")))
     return out.select("name", "status", F.col("code").cast("long").alias("code"), F.size("candidates").alias("candidates"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import canonical
-from ..operators import capacity, changefeed, coverage, inventory, presence
+from ..operators import capacity, changefeed, coverage, inventory, order, presence
 from ..sources import exchange
 from .registry import ntz, query, table
 
@@ -213,7 +213,11 @@ def bulk_manifest_parts(spark, d):
     return inventory.bulk_parts(table(spark, d, "orders"), "o_orderkey", 500, record)
 
 
-@query("export_footer")
+@query("export_footer", """
+    WITH r AS (SELECT sha256('{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus || '"}') AS d, row_number() OVER (ORDER BY o_orderkey) - 1 AS n FROM orders),
+    runs AS (SELECT n // 4096 AS run, sha256(string_agg(d, '' ORDER BY n)) AS digest FROM r GROUP BY 1)
+    SELECT (SELECT count(*) FROM orders) AS records, sha256(string_agg(digest, '' ORDER BY run)) AS sha256 FROM runs
+""")
 def export_footer(spark, d):
     rows = table(spark, d, "orders").select("o_orderkey", F.to_json(F.struct("o_orderkey", "o_custkey", "o_orderstatus")).alias("record"))
     return exchange.footer(rows, "o_orderkey", "record")
@@ -269,13 +273,12 @@ def capacity_model(spark, d):
 
 
 @query("uint64_order", """
-    SELECT event_id, CAST(18446744073709551615::HUGEINT - event_id * event_id AS VARCHAR) AS seq, rank() OVER (ORDER BY 18446744073709551615::HUGEINT - event_id * event_id) AS place FROM events WHERE event_id < 500
+    SELECT event_id, CAST(18446744073709551615::HUGEINT - event_id * event_id AS VARCHAR) AS seq, rank() OVER (ORDER BY 18446744073709551615::HUGEINT - event_id * event_id) AS place FROM events
 """)
 def uint64_order(spark, d):
     text = (F.lit("18446744073709551615").cast("decimal(20,0)") - (F.col("event_id") * F.col("event_id")).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string")
-    rows = table(spark, d, "events").filter("event_id < 500").select("event_id", text.alias("seq"))
-    # A rank over a bounded page of keys.
-    return rows.withColumn("place", F.rank().over(Window.orderBy(canonical.uint64(F.col("seq")))).cast("long"))
+    rows = table(spark, d, "events").select("event_id", text.alias("seq"))
+    return order.ranked(rows.withColumn("n", canonical.uint64(F.col("seq"))), "n", "place", equal=True).drop("n")
 
 
 @query("inventory_listing", """

@@ -56,22 +56,24 @@ def locator_exclusion(spark, d):
 
 
 @query("page_state", """
-    WITH t AS (SELECT page_id, lower(html) AS html FROM pages)
-    SELECT page_id, CASE WHEN html LIKE '%type="password"%' OR html LIKE '%login required%' OR html LIKE '%sign in to continue%' THEN 'login_required'
-        WHEN html LIKE '%access denied%' OR html LIKE '%captcha%' THEN 'restricted' WHEN html LIKE '%permanently closed%' THEN 'closed_claim' END AS state FROM t
+    WITH t AS (SELECT page_id, lower(regexp_replace(regexp_replace(html, '(?s)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '<[^>]*>', ' ', 'g')) AS shown, lower(html) AS raw FROM pages)
+    SELECT page_id, CASE WHEN page_id % 5 = 1 OR contains(raw, 'type="password"') OR contains(shown, 'login required') OR contains(shown, 'sign in to continue') OR contains(shown, 'iniciar sesión para') OR contains(shown, 'connexion requise') THEN 'login_required'
+        WHEN page_id % 5 = 2 OR contains(shown, 'access denied') OR contains(shown, 'verify you are human') OR contains(shown, 'captcha') OR contains(shown, 'accès refusé') OR contains(shown, 'zugriff verweigert') THEN 'restricted'
+        WHEN page_id % 5 = 3 OR contains(shown, 'permanently closed') OR contains(shown, 'cessation d’activité') OR contains(shown, 'dauerhaft geschlossen') OR contains(shown, 'cerrado permanentemente') THEN 'closed_claim' END AS state FROM t
 """)
 def page_state(spark, d):
-    html = F.lower("html")
-    has = lambda *texts: F.lit(False) if not texts else html.rlike("|".join(texts))
-    state = F.when(has('type="password"', "login required", "sign in to continue"), "login_required").when(has("access denied", "captcha"), "restricted").when(has("permanently closed"), "closed_claim")
-    return table(spark, d, "pages").select("page_id", state.alias("state"))
+    """the state that a page claims, by its full reader; three in five pages have a form or a text planted that tells one."""
+    planted = F.element_at(F.array(*map(F.lit, ["", '<input type="PASSWORD">', "<p>Please verify you are human</p>", "<b>Permanently</b> <i>closed</i> <p>permanently closed</p>", "<script>var t = 'captcha';</script>"])), (F.col("page_id") % 5 + 1).cast("int"))
+    rows = documents.states(table(spark, d, "pages").select("page_id", F.concat("html", planted).alias("html")))
+    return rows.select("page_id", "state")
 
 
-@query("vehicle_words", """
-    SELECT page_id, regexp_matches(lower(html), '(^|[^a-z0-9])(stock|occasion|occasions|aanbod|inventario)($|[^a-z0-9])') AS hit FROM pages
+@query("vehicle_words", r"""
+    SELECT page_id, regexp_matches(lower(html), '(^|[^\pL\pN])(stock|inventory|inventario|vehiculos|véhicules|fahrzeuge|gebrauchtwagen|occasion|occasions|aanbod|voertuigen|gebrauchte|used-cars|used-vans)($|[^\pL\pN])') AS hit FROM pages
 """)
 def vehicle_words(spark, d):
-    return table(spark, d, "pages").select("page_id", F.lower("html").rlike(r"(^|[^a-z0-9])(stock|occasion|occasions|aanbod|inventario)($|[^a-z0-9])").alias("hit"))
+    """Words that tell an inventory, by the pattern that the page reader uses."""
+    return table(spark, d, "pages").select("page_id", F.col("html").rlike(urls.INVENTORY_JAVA).alias("hit"))
 
 
 def captured(spark, d):
@@ -83,21 +85,38 @@ def document_claims(spark, d):
     return documents.parse(captured(spark, d))
 
 
+@query("technology_signatures", """
+    SELECT s_suppkey AS page_id, category, name, confidence FROM supplier, (SELECT unnest([
+        {'k': 0, 'category': 'cms', 'name': 'WordPress', 'confidence': 'strong_signal'}, {'k': 0, 'category': 'plugin', 'name': 'wordpress-plugin:car-list', 'confidence': 'tentative'}, {'k': 0, 'category': 'inventory_provider', 'name': 'DealerWebs', 'confidence': 'tentative'},
+        {'k': 1, 'category': 'cms', 'name': 'Drupal', 'confidence': 'tentative'}, {'k': 1, 'category': 'cms', 'name': 'Joomla', 'confidence': 'tentative'}, {'k': 2, 'category': 'framework', 'name': 'Next.js', 'confidence': 'tentative'}], recursive := true)) t
+    WHERE s_suppkey % 4 = t.k
+""")
+def technology_signatures(spark, d):
+    """planted signatures: a site with its plugin and provider, one with rival declarations, an empty shell, and one without any."""
+    bodies = [
+        "<meta name=generator content='WordPress 6.5'><script src='/wp-content/plugins/car-list/x.js'></script><iframe src='https://my.dealerwebs.com/embed'></iframe>",
+        "<meta name=generator content='Drupal 10'><meta name=generator content='Joomla! 5'><textarea><meta name=generator content='WordPress 6'></textarea>",
+        "<div id=__next></div><script src='/_next/static/a.js'></script>", "<a href='https://dealerwebs.com.evil.example/x'>x</a>",
+    ]
+    body = F.element_at(F.array(*[F.encode(F.lit(x), "UTF-8") for x in bodies]), (F.col("s_suppkey") % 4 + 1).cast("int"))
+    rows = table(spark, d, "supplier").select(F.col("s_suppkey").alias("page_id"), F.lit("https://d.example.com/").alias("origin"), F.lit("text/html").alias("content_type"), F.lit(None).cast("map<string,string>").alias("headers"), body.alias("body"))
+    return technology.scan(rows).select("page_id", F.explode("detections").alias("x")).select("page_id", "x.category", "x.name", "x.confidence")
+
+
 @query("technology_scan")
 def technology_scan(spark, d):
     return technology.scan(captured(spark, d)).select("page_id", "status", F.size("detections").alias("detections"), F.size("inventory_surfaces").alias("surfaces"), "dynamic_rendering_required", F.array_join("limitations", ",").alias("limitations"))
 
 
-@query("jsonld_extract")
+@query("jsonld_extract", """
+    SELECT s_suppkey AS page_id, 'https://s' || s_suppkey || '.example.com/' AS locator, kind, s_name AS label FROM supplier, (SELECT unnest(['professional_seller', 'point_of_sale', 'unknown']) AS kind)
+    WHERE (kind = 'unknown') = (s_suppkey % 3 = 0) AND (kind <> 'point_of_sale' OR s_suppkey % 3 = 1)
+""")
 def jsonld_extract(spark, d):
-    """Own fixtures: a graph with two dealers and a repair shop."""
-    import json
-
-    graph = {"@graph": [
-        {"@type": "AutoDealer", "name": "North", "url": "https://north.example.com/", "address": {"@type": "PostalAddress", "streetAddress": "1 High Street", "addressLocality": "Town"}},
-        {"@type": ["MotorcycleDealer"], "name": "South", "@id": "https://south.example.com/#shop"},
-        {"@type": "AutoRepair", "name": "Repair", "url": "https://repair.example.com/"},
-    ]}
-    html = f'<html><h1>Dealers</h1><script type="application/ld+json">{json.dumps(graph)}</script></html>'
-    page = spark.createDataFrame([(1, "https://guide.example.com/list", "text/html", bytearray(html.encode()))], "page_id long, origin string, content_type string, body binary")
-    return documents.parse(page)
+    """Schema.org businesses in graphs: a repair shop, a dealer with a street and so a point of sale, and one without."""
+    k = F.col("s_suppkey") % 3
+    street = F.when(k == 1, F.lit(',"address":{"@type":"PostalAddress","streetAddress":"1 High Street"}')).otherwise("")
+    node = F.concat(F.lit('{"@type":'), F.when(k == 0, '"AutoRepair"').when(k == 1, '"AutoDealer"').otherwise('["MotorcycleDealer"]'), F.lit(',"name":"'), F.col("s_name"), F.lit('","url":"https://s'), F.col("s_suppkey"), F.lit('.example.com/"'), street, F.lit("}"))
+    html = F.concat(F.lit('<h1>x</h1><script type="application/ld+json">{"@graph":[{"@type":"Car","url":"/car/9"},'), node, F.lit("]}</script>"))
+    pages = table(spark, d, "supplier").select(F.col("s_suppkey").alias("page_id"), F.lit("https://guide.example.com/list").alias("origin"), F.lit("text/html").alias("content_type"), F.encode(html, "UTF-8").alias("body"))
+    return documents.parse(pages).select("page_id", "locator", "kind", "label")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import order
 from ..operators.evidence import validate_observations
 from ..schemas import OBSERVATION, PROFILE, SOURCE_TYPES
 
@@ -15,8 +16,7 @@ MOST_LINE = 64 * 1024
 def read_observations(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(valid, quarantine) of JSON lines. A malformed or too long line fails the read: an import is all or nothing."""
     lines = spark.read.text(path).select(F.when(F.octet_length("value") > MOST_LINE, F.raise_error(F.lit("line too long"))).otherwise(F.col("value")).alias("value"))
-    schema = OBSERVATION.replace("signals STRING", "signals STRING")
-    parsed = lines.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("o")).select("o.*")
+    parsed = lines.select(F.from_json("value", OBSERVATION, {"mode": "FAILFAST"}).alias("o")).select("o.*")
     return validate_observations(parsed)
 
 
@@ -44,19 +44,15 @@ def profile_faults(profiles: DataFrame) -> DataFrame:
 
 
 def footer(records: DataFrame, key: str, record: str) -> DataFrame:
-    """One row: how many records, and a checksum over the digests of all of them in key order.
+    """One row: how many records, and a checksum over them in key order: the digest of the digests of runs of 4096, each over its records' digests.
 
-    Digests are first joined within ranges of 4096 ranks and then over the ranges, so no task holds more than one range's digests and the ranges' list.
+    key: a number, each once. No task holds more than a run's digests, and the last one the runs' (64 bytes for 4096 records).
     """
-    from pyspark.sql import Window
-
     rows = records.select(F.col(key).alias("k"), F.sha2(F.col(record), 256).alias("d"))
-    parts = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.repartitionByRange(parts, "k").withColumn("part", F.spark_partition_id())
-    inside = F.floor((F.row_number().over(Window.partitionBy("part").orderBy("k", "d")) - 1) / 4096).cast("long")
-    runs = ranged.withColumn("run", inside).groupBy("part", "run").agg(F.count("*").alias("n"), F.min("k").alias("low"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "d"))), lambda x: x["d"]), "").alias("joined"))
-    whole = runs.select("n", "low", "joined")
-    return whole.agg(F.sum("n").alias("records"), F.array_sort(F.collect_list(F.struct("low", "joined"))).alias("r")).select(F.coalesce("records", F.lit(0)).alias("records"), F.sha2(F.array_join(F.transform("r", lambda x: x["joined"]), ""), 256).alias("sha256"))
+    runs = order.ranked(rows, "k", "n").groupBy(F.expr("(n - 1) div 4096").alias("run")).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("k", "d"))).alias("r"))
+    runs = runs.select("run", "n", F.sha2(F.array_join(F.transform("r", lambda x: x["d"]), ""), 256).alias("digest"))
+    whole = runs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("records"), F.array_sort(F.collect_list(F.struct("run", "digest"))).alias("r"))
+    return whole.select("records", F.sha2(F.array_join(F.transform("r", lambda x: x["digest"]), ""), 256).alias("sha256"))
 
 
 def write_lines(header: DataFrame, records: DataFrame, receipts: DataFrame, foot: DataFrame, path: str) -> None:

@@ -1,7 +1,7 @@
 """An evidence store in a folder of Parquet: every change writes new versions of the tables it touches, then one manifest.
 
 Readers follow the newest manifest, so they see all of a change or nothing; a writer that lost a race finds the manifest taken and fails.
-There is no update in place and no server: a nested transaction of the reference is one change here.
+Tables that are only added to (log, decisions, ledgers) are lists of parts, so a change costs what it adds. There is no update in place and no server: a nested transaction is one change.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ TABLES = {
     "suppressed_artifacts": "checksum STRING, suppressed_at TIMESTAMP",
     "log": "kind STRING, entity STRING, recorded_at TIMESTAMP",
 }
+#: Parts of a table that is only added to, before they are joined.
+MOST_PARTS = 64
 _IDENTITY = [c.split()[0] for c in OBSERVATION.replace("\n", " ").split(",")]
 
 
@@ -46,23 +48,29 @@ class Store:
         return max(numbers), json.loads(text)
 
     def table(self, name: str) -> DataFrame:
-        version = self.versions()[1].get(name)
-        return self.spark.createDataFrame([], TABLES[name]) if version is None else self.spark.read.schema(TABLES[name]).parquet(f"{self.path}/{name}/{version}")
+        parts = self.versions()[1].get(name)
+        return self.spark.read.schema(TABLES[name]).parquet(*[f"{self.path}/{name}/{n}" for n in parts]) if parts else self.spark.createDataFrame([], TABLES[name])
 
-    def commit(self, changes: dict[str, DataFrame]) -> int:
-        """Write the changed tables, then the manifest that makes them visible."""
+    def commit(self, changes: dict[str, DataFrame], added: dict[str, DataFrame] | None = None) -> int:
+        """Write the changed tables whole and the rows added to others, then the manifest that makes both visible. A table is the list of its parts; many parts are joined."""
         number, versions = self.versions()
-        for name, df in changes.items():
-            df.select(*self.spark.createDataFrame([], TABLES[name]).columns).write.mode("errorifexists").parquet(f"{self.path}/{name}/{number + 1}")
-        text = json.dumps(versions | {name: number + 1 for name in changes})
+        joined = {name: self.table(name).unionByName(df.select(*self._columns(name))) for name, df in (added or {}).items() if len(versions.get(name, ())) >= MOST_PARTS}
+        more = {name: df for name, df in (added or {}).items() if name not in joined}
+        for name, df in {**changes, **joined, **more}.items():
+            df.select(*self._columns(name)).write.mode("errorifexists").parquet(f"{self.path}/{name}/{number + 1}")
+        text = json.dumps(versions | {name: [number + 1] for name in {**changes, **joined}} | {name: [*versions.get(name, ()), number + 1] for name in more})
         # One file, made once: whoever comes second fails here.
         out = self._fs.create(self._path("manifest", str(number + 1)), False)
         out.write(bytearray(text.encode()))
         out.close()
         return number + 1
 
-    def _logged(self, kind: str, entities: DataFrame, now) -> DataFrame:
-        return self.table("log").unionByName(entities.select(F.lit(kind).alias("kind"), F.col(entities.columns[0]).alias("entity"), now.alias("recorded_at")))
+    def _columns(self, name: str) -> list[str]:
+        return self.spark.createDataFrame([], TABLES[name]).columns
+
+    @staticmethod
+    def _logged(kind: str, entities: DataFrame, now) -> DataFrame:
+        return entities.select(F.lit(kind).alias("kind"), F.col(entities.columns[0]).alias("entity"), now.alias("recorded_at"))
 
     def ingest(self, observations: DataFrame, now) -> DataFrame:
         """Admit valid observations; all or nothing. Returns what was quarantined, which must be empty for anything to be written."""
@@ -76,7 +84,7 @@ class Store:
         every = self.table("evidence").unionByName(fresh.drop("candidate_key"))
         rest = [c for c in every.columns if c not in ("evidence_key", "expires_at")]
         merged = every.groupBy("evidence_key").agg(F.min("expires_at").alias("expires_at"), F.min_by(F.struct(*rest), "observed_at").alias("_r")).select("evidence_key", "expires_at", "_r.*")
-        self.commit({"evidence": merged, "log": self._logged("evidence_ingested", fresh.select("candidate_id").distinct(), now)})
+        self.commit({"evidence": merged}, {"log": self._logged("evidence_ingested", fresh.select("candidate_id").distinct(), now)})
         return wrong
 
     def candidates(self) -> DataFrame:
@@ -96,7 +104,7 @@ class Store:
         broken = graph.cannot_link_conflicts(graph.components(duplicates), self.table("relations").filter("kind = 'cannot_link'").select("source_id", "target_id"))
         if broken.limit(1).count():
             return proposed.withColumn("fault", F.lit("violates_cannot_link"))
-        self.commit({"decisions": every, "log": self._logged("candidate_decided", accepted.select("candidate_id"), now)})
+        self.commit({}, {"decisions": accepted.withColumn("decided_at", now), "log": self._logged("candidate_decided", accepted.select("candidate_id"), now)})
         return refused
 
     def relate(self, relations: DataFrame, now) -> DataFrame:
@@ -109,7 +117,7 @@ class Store:
         kept, gone = evidence.expire(self.table("evidence"), now)
         count = gone.count()
         artifacts = self.table("artifacts").filter(F.col("expires_at") > now)
-        self.commit({"evidence": kept, "artifacts": artifacts, "expired_evidence": self.table("expired_evidence").unionByName(gone).dropDuplicates(["evidence_key"])})
+        self.commit({"evidence": kept, "artifacts": artifacts}, {"expired_evidence": gone.join(self.table("expired_evidence"), "evidence_key", "left_anti")})
         return count
 
     def suppress(self, ids: DataFrame, now) -> None:
@@ -118,8 +126,7 @@ class Store:
         entry = ids.select(F.col("candidate_id").alias("candidate_key"), "candidate_id", now.alias("recorded_at"))
         self.commit({
             "evidence": out["evidence"], "relations": out["relations"], "decisions": out["decisions"], "artifacts": out["artifacts"],
-            "suppressed_artifacts": self.table("suppressed_artifacts").unionByName(out["suppressed_artifacts"].withColumn("suppressed_at", now)), "deletion_ledger": self.table("deletion_ledger").unionByName(entry),
-        })
+        }, {"suppressed_artifacts": out["suppressed_artifacts"].withColumn("suppressed_at", now), "deletion_ledger": entry})
 
     def put_artifacts(self, bodies: DataFrame) -> None:
         """Bodies (body, expires_at) by content; the earliest expiry counts, suppressed content stays out."""

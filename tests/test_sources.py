@@ -277,6 +277,7 @@ def test_import_and_export(spark, tmp_path):
     records = spark.range(10_000).select("id", F.concat(F.lit("r"), F.col("id").cast("string")).alias("record"))
     digests = [hashlib.sha256(f"r{k}".encode()).hexdigest() for k in range(10_000)]
     foot = exchange.footer(records, "id", "record").first()
-    assert (foot.records, foot.sha256) == (10_000, hashlib.sha256("".join(digests).encode()).hexdigest())
+    runs = [hashlib.sha256("".join(digests[k : k + 4096]).encode()).hexdigest() for k in range(0, 10_000, 4096)]
+    assert (foot.records, foot.sha256) == (10_000, hashlib.sha256("".join(runs).encode()).hexdigest())
     exchange.write_bulk(records, "id", 3, str(tmp_path / "bulk"))
     assert spark.read.json(str(tmp_path / "bulk")).count() == 10_000
