@@ -13,19 +13,22 @@ Sets that share signatures are gathered under the set that they meet most; those
 of incidence matrices), so that copies are never written out as pairs. Where a pair across two groups passes the bounds of size and histogram, the
 groups are verified together. Equal sets are one node throughout. Links are reduced to components in Spark.
 
+Sets and shingles go by 64-bit names throughout, also where intersections are counted: among n different ones about n * n / 2^65 pairs share a name (three for ten thousand million).
+
 Edge cases: null, empty or wordless texts have no shingles and link with nothing; fewer words than n are one shingle of the whole sequence;
-repeated rows and texts are one node and share a component; a null doc_id is carried along, and is no component's id.
+repeated rows and texts are one node and share a component; rows with a null doc_id link like all others, and a component of such rows alone has the id null; rows that share a
+doc_id and have different texts are different documents of one id; columns of docs, whatever they are called, are carried along or not read.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
 from .pressed import press, unpress
-from .shared import apart, bucket_count, ready
+from .shared import apart, bucket_count, free, ready, through_parquet
 from .textnp import PLACE, mix, shingles, slices, words
 
 N = 5
@@ -107,19 +110,19 @@ def node_of(x: np.ndarray) -> int:
 
 
 def nodes(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, node of every row; node is null without shingles."""
+    """doc_id, version (hash of the text), n_shingles, node of every row; node is null without shingles."""
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
             size, node = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
-            for k, x, name in sets_of(batch.column(1)):
+            for k, x, name in sets_of(batch.column(2)):
                 size[k], node[k] = len(x), name
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.array(node, mask=size == 0)], ["doc_id", "n_shingles", "node"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size), pa.array(node, mask=size == 0)], ["doc_id", "version", "n_shingles", "node"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text).mapInArrow(run, f"doc_id {kind}, n_shingles long, node long")
+    return docs.select("doc_id", F.xxhash64(text).alias("version"), text).mapInArrow(run, f"doc_id {kind}, version long, n_shingles long, node long")
 
 
 # --- Runs of numpy arrays as rows: (bucket, kind, blob) ---
@@ -412,8 +415,8 @@ def _verify(table):
     return pa.table({"a": pa.array([x[0] for x in out], pa.int64()), "b": pa.array([x[1] for x in out], pa.int64())})
 
 
-def components(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of docs."""
+def grouped(docs: DataFrame, text: str = "text") -> DataFrame:
+    """doc_id, version, n_shingles, node, component (a node's name; null without shingles) of every row of docs."""
     ready(docs.sparkSession)
     buckets = bucket_count(docs)
     named = nodes(docs, text).checkpoint()
@@ -422,26 +425,41 @@ def components(docs: DataFrame, text: str = "text") -> DataFrame:
     # Groups: nodes of one main node, and groups that a candidate pair connects.
     joint = connected_components(met.filter("kind = 1").select("a", "b")).select(F.col("node").alias("main"), F.col("component").alias("joint"))
     members = met.filter("kind = 0").select(F.col("a").alias("main"), F.col("b").alias("node")).join(joint, "main", "left").select(F.coalesce("joint", "main").alias("key"), "node").distinct()
-    members = members.withColumns({"rank": F.row_number().over(Window.partitionBy("key").orderBy("node")) - 1, "of": F.count("*").over(Window.partitionBy("key"))}).filter("of > 1")
-    least = named.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    # Sizes by a count with a map-side combine, and places by the node's hash: no task holds a group.
+    sizes = members.groupBy("key").agg(F.count("*").alias("of")).filter("of > 1")
+    members = members.join(apart(sizes, "key"), "key")
+    least = named.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version")).alias("first")).select("node", "first.doc_id", "first.version")
     # A group of several blocks is verified block by block, each pair of blocks in a task of its own.
-    chunk, chunks = F.expr(f"cast(rank div {BLOCK} as int)"), F.expr(f"cast((of - 1) div {BLOCK} as int)")
-    dealt = members.join(least, "node").select("node", "doc_id", "key", F.explode(F.transform(F.sequence(F.lit(0), chunks), lambda c: F.struct(F.least(c, chunk).alias("one"), F.greatest(c, chunk).alias("two")))).alias("block"))
-    texts, held = press(docs.filter(F.col("doc_id").isNotNull()), ["doc_id"], text)
-    wanted = dealt.select("node", "doc_id").distinct()
-    bodies = texts.join(wanted, "doc_id").select("node", F.col(held).alias("__z"))
+    chunks = F.expr(f"cast((of - 1) div {BLOCK} as int)")
+    chunk = F.expr(f"cast(pmod(xxhash64(node), (of - 1) div {BLOCK} + 1) as int)")
+    dealt = members.join(least, "node").select("node", "doc_id", "version", "key", F.explode(F.transform(F.sequence(F.lit(0), chunks), lambda c: F.struct(F.least(c, chunk).alias("one"), F.greatest(c, chunk).alias("two")))).alias("block"))
+    # Of the rows without an id, each text once.
+    source = docs.filter(F.col(text).isNotNull()).select("doc_id", F.col(text).alias("text"))
+    source = source.filter(F.col("doc_id").isNotNull()).unionAll(source.filter(F.col("doc_id").isNull()).dropDuplicates(["text"]))
+    texts, held = press(source, ["doc_id"], "text", "version")
+    wanted = dealt.select("node", F.col("doc_id").alias("id"), F.col("version").alias("of")).distinct()
+    bodies = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("version") == F.col("of"))).select("node", F.col(held).alias("__z"))
     links = dealt.select("node", "key", "block").join(bodies, "node").groupBy("key", "block").applyInArrow(_verify, "a long, b long")
     joined = connected_components(links)
-    whole = least.join(joined, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
-    smallest = whole.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named_components = whole.join(apart(smallest, "component"), "component").select("node", "component_id")
-    return named.join(named_components, "node", "left").select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
-
-
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs, columns as they are, that are their component's smallest doc_id (of equal doc_ids, the smallest text)."""
-    found = components(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept_rows = docs.join(found.filter(F.col("doc_id").isNotNull()), "doc_id", "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    kept_rows = kept_rows.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").drop("_nth")
-    return kept_rows.unionAll(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)
+    return named.join(apart(joined, "node"), "node", "left").select("doc_id", "version", "n_shingles", "node", F.coalesce("component", "node").alias("component"))
+
+
+def components(docs: DataFrame, text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of docs: the smallest doc_id that its links reach."""
+    found = grouped(docs, text)
+    smallest = found.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return found.join(apart(smallest, "component"), "component", "left").select("doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
+    """One row of docs for each component, columns as they are: of the smallest doc_id (null last), then the smallest hash of the text; of repeated rows one. Texts without words are not alike."""
+    # Names of the copies that are joined with docs.
+    key, version, many = (free(docs.columns, c) for c in ("_id", "_version", "_many"))
+    found = through_parquet(grouped(docs, text).groupBy("component", "doc_id", "version").agg(F.count("*").alias("n")), "grouped")
+    first = found.filter("component is not null").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "n")).alias("x")).select("x.doc_id", "x.version", "x.n")
+    kept = first.unionAll(found.filter("component is null").select("doc_id", "version", "n")).select(F.col("doc_id").alias(key), F.col("version").alias(version), F.col("n").alias(many))
+    mine = free([*docs.columns, key, version, many], "_own")
+    rows = docs.withColumn(mine, F.xxhash64(text))
+    rows = rows.join(kept, rows["doc_id"].eqNullSafe(F.col(key)) & (rows[mine] == F.col(version)))
+    once = rows.filter(F.col(many) == 1).select(*docs.columns)
+    return once.unionAll(rows.filter(F.col(many) > 1).dropDuplicates([key, version]).select(*docs.columns))

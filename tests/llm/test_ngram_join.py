@@ -107,3 +107,29 @@ def test_similar_counts_exactly():
     i, j = nj.similar(sets)
     want = {(p, q) for q in range(80) for p in range(q) if 100 * len(np.intersect1d(sets[p], sets[q])) >= 75 * len(np.union1d(sets[p], sets[q]))}
     assert set(zip(i.tolist(), j.tolist())) == want
+
+
+def test_rows_without_an_id_and_ids_of_several_texts(docs):
+    base = [f"w{k}" for k in range(60)]
+    near = " ".join([*base[:-1], "other"])
+    rows = [(None, " ".join(base)), (None, " ".join(base)), (None, near), (7, near), (8, "quite another text of some words"), (8, "and one more that shares the id only"), (None, "alone without an id or a twin here"), (9, None), (9, None)]
+    found = sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id) for r in nj.components(docs(rows)).collect())
+    assert [x[3] for x in found if x[0]] == [None, 7, 7, 7] and [x[3] for x in found if not x[0]] == [7, 8, 8, 9, 9]
+    kept = sorted((r.doc_id or 0, r.text or "") for r in nj.one_of_each(docs(rows, True)).collect())
+    assert kept == [(0, rows[6][1]), (7, near), (8, rows[5][1]), (8, rows[4][1]), (9, "")]
+
+
+def test_both_kinds_of_allocation_are_used():
+    """Small sets go by one-deletion neighbourhoods, larger ones by subsets."""
+    kinds = [nj.design(b)[2] for b in range(30)]
+    assert 1 in kinds and kinds[-1] == 0
+
+
+def test_names_that_clash(docs):
+    from pyspark.sql import functions as F
+
+    df = docs([(1, "one two three four five six"), (2, "one two three four five six")])
+    for name in ("_id", "_version", "_many", "_own", "version", "component"):
+        df = df.withColumn(name, F.lit("kept"))
+    out = nj.one_of_each(df).collect()
+    assert len(out) == 1 and all(out[0][c] == "kept" for c in df.columns[2:])
