@@ -1,6 +1,6 @@
 """Operator 7: toxicity by noisy-channel deobfuscation.
 
-Disguised spots (digits or signs standing for letters, letters set apart, letters repeated) are lattices: each character may stand for
+Disguised spots (digits or signs standing for letters; letters, or signs for them, set apart by one or two separators; letters repeated, once where that hides a known term) are lattices: each character may stand for
 several letters, for a repetition or for nothing, at a channel cost. Viterbi decoding finds the letters that are
 likeliest under the channel and a character trigram model, which is counted over all documents and mixed with the
 spellings of the learned terms. The plain words and the restored ones are then scored.
@@ -12,12 +12,14 @@ holds of them (how many, how telling, in how long a text) into its score; they a
 terms of the other half, so that no term speaks for the documents that it was found in.
 
 Edge cases: null and empty texts have the score of a text without terms; without labels every score is 0.5; a null doc_id is never a training row
-nor held out; of labels that share a doc_id the largest counts; repeated rows repeat; texts of any length are read whole.
+nor held out; of labels that share a doc_id the largest counts; repeated rows repeat; texts of any length are read whole; columns called like those added are replaced; of equally likely readings the first
+letters by the channel's order count.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from functools import lru_cache
 
@@ -224,6 +226,8 @@ class Scorer:
                 own[times:] = [max(p, x) for x in own[times:]]
         self.keys = {0: self._table([t for t in self.whole], 0)} | {n: self._table([t for t in self.prefix if len(t) == n], n) for n in PREFIXES}
         self.long = [t.decode("utf-8", "ignore") for t in self.whole if len(t) >= 4]
+        # Terms without repeated letters: what words that hide one by repetition come down to.
+        self.pressed = self._table(sorted({re.sub(rb"([a-z])\1+", rb"\1", t) for t in self.whole}), 0)
 
     @staticmethod
     def _prefix_hash(buf: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
@@ -258,7 +262,7 @@ class Scorer:
         at = np.flatnonzero(maybe[(h & np.uint64(0xFFFF)).astype(np.int64)])
         return at[keys[np.minimum(np.searchsorted(keys, h[at]), len(keys) - 1)] == h[at]]
 
-    def spots(self, low: np.ndarray) -> list[tuple[int, int]]:
+    def spots(self, low: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
         """Spans that look disguised."""
         if len(low) < 3:
             return []
@@ -269,23 +273,48 @@ class Scorer:
         # A sign or digit between letters on either side, as well as those with letters before and a leet sign after.
         odd[1:-1] |= letter[:-2] & _LEET[low[1:-1]] & (letter[2:] | (low[1:-1] < 0x3A) & (low[1:-1] > 0x2F))
         out = []
-        cuts = np.concatenate([[-1], np.flatnonzero(space), [len(low)]])
-        for e in np.unique(np.searchsorted(cuts, np.flatnonzero(odd))):
-            out.append((int(cuts[e - 1]) + 1, int(cuts[e])))
-        alone = _ASCII[low].copy()
-        alone[1:] &= ~letter[:-1]
-        alone[:-1] &= ~letter[1:]
-        step = np.zeros(len(low), bool)
-        step[:-2] = alone[:-2] & _GAP[low[1:-1]] & alone[2:]
-        first = np.flatnonzero(step & ~np.concatenate([[False, False], step[:-2]]))
-        for a in first:
-            b = int(a)
-            while b + 2 < len(low) and step[b]:
-                b += 2
-            if b - a >= 6:
-                out.append((int(a), b + 1))
+        # What is parted by white space or by the end of a text.
+        gaps = np.flatnonzero(space)
+        begins, stops = np.unique(np.concatenate([gaps + 1, offsets])), np.unique(np.concatenate([gaps, offsets[1:]]))
+        found = np.flatnonzero(odd)
+        for a in np.unique(begins[np.searchsorted(begins, found, "right") - 1]).tolist():
+            out.append((a, int(stops[np.searchsorted(stops, a, "right")])))
+        first = np.zeros(len(low) + 1, bool)
+        first[offsets] = True
+        first = first[:-1]
+        # Single letters or signs for them, at least three, with one or two separators between.
+        sign = _ASCII[low] | _LEET[low]
+        solid = letter | sign | ((low >= 0x30) & (low <= 0x39))
+        alone = sign.copy()
+        alone[1:] &= ~solid[:-1] | first[1:]
+        alone[:-1] &= ~solid[1:] | first[1:]
+        at = np.flatnonzero(alone)
+        step = np.diff(at)
+        near = (step == 2) | (step == 3)
+        if near.any():
+            # Nothing but separators between, and no text's end.
+            gap, texts = np.concatenate([[0], np.cumsum(~_GAP[low])]), np.cumsum(first)
+            near &= (gap[at[1:]] - gap[at[:-1] + 1] == 0) & (texts[at[1:]] == texts[at[:-1]])
+        ends = np.flatnonzero(np.append(~near, True))
+        for a, b in zip(np.append(0, ends[:-1] + 1), ends) if len(at) else ():
+            if b - a >= 2 and _ASCII[low[at[a : b + 1]]].any():
+                out.append((int(at[a]), int(at[b]) + 1))
         return out
 
+    def doubled(self, low: np.ndarray, offsets: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """Numbers of the words, beyond ``known`` ones, that come down to a term when repeated letters are taken once."""
+        same = np.zeros(len(low), bool)
+        same[1:] = (low[1:] == low[:-1]) & _ASCII[low[1:]]
+        # A text's first letter repeats nothing.
+        same[offsets[offsets < len(low)]] = False
+        if not same.any() or not len(self.pressed[0]):
+            return np.zeros(0, np.int64)
+        h = word_spans(low[~same], offsets - np.concatenate([[0], np.cumsum(same)])[offsets])[0]
+        keys, maybe = self.pressed
+        at = np.flatnonzero(maybe[(h & np.uint64(0xFFFF)).astype(np.int64)])
+        at = at[keys[np.minimum(np.searchsorted(keys, h[at]), len(keys) - 1)] == h[at]]
+        return at[~np.isin(at, known)]
+
     def features(self, column) -> np.ndarray:
         """EVIDENCE numbers for each text of an Arrow string column."""
         out = np.zeros((len(column), EVIDENCE))
@@ -309,7 +338,8 @@ class Scorer:
                     hits.append(at[self._among(acc, k + 1)])
             for k in np.unique(np.concatenate(hits)):
                 put(starts[k], raw[starts[k] : ends[k]])
-            for a, b in self.spots(low):
+            again = self.doubled(low, offsets, hits[0])
+            for a, b in [*self.spots(low, offsets), *zip(starts[again].tolist(), ends[again].tolist())]:
                 word = raw[a:b].decode("utf-8", "ignore").strip(".,;:?\"'#&%*^~ ")
                 restored = self.decoder.restore(word)
                 if restored != word:
