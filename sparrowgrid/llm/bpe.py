@@ -37,6 +37,19 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def check_settings(spec: dict) -> None:
+    """ValueError for a vocabulary file that asks for anything but plain byte-level BPE: it would give other ids."""
+    model, before, after = spec["model"], spec.get("pre_tokenizer") or {}, spec.get("decoder") or {}
+    flags = ("single_word", "lstrip", "rstrip", "normalized")
+    odd = {
+        "model": model.get("type") != "BPE" or any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")),
+        "normalizer": spec.get("normalizer") is not None, "pre_tokenizer": before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True),
+        "decoder": after.get("type") != "ByteLevel", "added_tokens": any(t.get(k) for t in spec.get("added_tokens", []) for k in flags),
+    }
+    if wrong := [name for name, on in odd.items() if on]:
+        raise ValueError(f"not a plain byte-level BPE file: {', '.join(wrong)}")
+
+
 class Bpe:
     """A byte-level BPE vocabulary: ``encode_words`` for pretokens, ``encode`` and ``decode`` for texts."""
 
@@ -45,6 +58,7 @@ class Bpe:
 
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
+        check_settings(spec)
         letters, vocab = _byte_letters(), spec["model"]["vocab"]
         self.bytes_of = {i: bytes(letters[c] for c in token) for token, i in vocab.items()}
         self.byte_id = np.zeros(256, np.int64)

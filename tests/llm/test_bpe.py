@@ -51,3 +51,19 @@ def test_odd_tables(spark, docs, library):
     back = bpe.decode(bpe.encode(docs(ODD), bpe_path()), bpe_path()).collect()
     assert all(r.decoded == (r.text or "") for r in back)
     assert bpe.digests(docs([]), bpe_path()).count() == 0
+
+
+def test_other_settings_are_refused(tmp_path):
+    import json
+
+    import pytest
+
+    from sparrowgrid.llm.bpe import Bpe
+    from sparrowgrid.llm.queries import bpe_path
+
+    spec = json.load(open(bpe_path(), encoding="utf-8"))
+    token = spec["added_tokens"][0]
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": spec["pre_tokenizer"] | {"add_prefix_space": True}}, {"pre_tokenizer": None}, {"decoder": None}, {"added_tokens": [token | {"lstrip": True}]}, {"model": spec["model"] | {"ignore_merges": True}}):
+        (tmp_path / "odd.json").write_text(json.dumps(spec | change))
+        with pytest.raises(ValueError):
+            Bpe(str(tmp_path / "odd.json"))
