@@ -161,11 +161,62 @@ def coverage(args) -> None:
     _rows(c.unknown_claims(live, "candidate_id", {"country": F.size("countries") == 0, "vehicle_class": F.size("classes") == 0, "source_type": F.col("source_type") == "unknown", "locality": F.col("locality_code") == ""}))
 
 
+def schedule(args) -> None:
+    from . import agenda
+
+    store, now = _store(args), _now(args.now)
+    if args.action == "register":
+        print(canonical_json(agenda.register_schedule(store, agenda.load_spec(args.file), args.actor, now)))
+    elif args.action in ("pause", "resume"):
+        print(canonical_json(agenda.set_paused(store, args.schedule, args.action == "pause", args.actor, args.reason, now)))
+    else:
+        _rows(agenda.due(store, now) if args.action == "due" else agenda.inspect(store))
+
+
+def policy(args) -> None:
+    from . import agenda
+
+    store, now = _store(args), _now(args.now)
+    if args.action == "register":
+        print(canonical_json(agenda.register_policy(store, args.policy, agenda.load_spec(args.file), now)))
+    elif args.action == "revoke":
+        agenda.revoke_policy(store, args.policy, args.actor, args.reason, now)
+    else:
+        _rows(agenda.check_policies(store, store.spark.createDataFrame([(args.policy, args.checksum)], "policy_ref string, checksum string")))
+
+
+def work(args) -> None:
+    from . import agenda
+    from .operators.queue import listing
+
+    store = _store(args)
+    if args.action == "requeue":
+        agenda.requeue(store, args.keys.split(","), args.reason)
+    elif args.action == "release":
+        print(canonical_json({"released": agenda.release(store, args.limit)}))
+    else:
+        _rows(listing(store.table("tasks"), args.limit, args.status))
+
+
+def estimate(args) -> None:
+    """Two-group estimate of one stratum from JSON lines of records and of groups."""
+    from .operators.estimation import estimate_stratum
+
+    spark = _spark()
+    stratum = json.loads(args.stratum)
+    fields = ", ".join(f"`{k}`: string" for k in stratum)
+    records = spark.read.schema(f"entity_id string, identity_status string, review_status string, source_id string, evidence_ref string, observed_at timestamp, expires_at timestamp, stratum struct<{fields}>").json(args.records)
+    groups = spark.read.schema("id string, sources array<string>, independent boolean, evidence_ref string, observed_at timestamp, expires_at timestamp, depends_on array<string>").json(args.groups)
+    _rows(estimate_stratum(records, groups, stratum, _now(args.now), _now(args.start), _now(args.end)))
+
+
 COMMANDS = {
     "profiles": (profiles, "profiles"), "plan": (plan, "profiles localities limit:int=1000 offset:int=0"), "geo-import": (geo_import, "file metadata format=json"), "geo-resolve": (geo_resolve, "catalogue name region="),
     "technology": (technology, "file origin content-type headers="), "inspect-file": (inspect_file, "file origin content-type"), "inspect-channel": (inspect_channel, "file binding origin content-type"),
     "ingest": (ingest, "store file now="), "coverage": (coverage, "store countries=ES,FR,DE,NL,BE,CH now="), "candidate": (candidate, "store candidate"), "review": (review, "store candidate status revision:int actor reason target= now="),
     "relate": (relate, "store source target kind evidence actor now="), "export": (export, "store now="), "expire": (expire, "store now="), "suppress": (suppress, "store candidate now="), "doctor": (doctor, "store"),
+    "schedule": (schedule, "store action file= schedule= actor= reason= now="), "policy": (policy, "store action policy file= checksum= actor= reason= now="), "queue": (work, "store action=list keys= reason= status= limit:int=100"),
+    "estimate": (estimate, "records groups stratum start end now="),
 }
 
 

@@ -24,6 +24,13 @@ TABLES = {
     "artifacts": "checksum STRING, body BINARY, expires_at TIMESTAMP",
     "suppressed_artifacts": "checksum STRING, suppressed_at TIMESTAMP",
     "log": "kind STRING, entity STRING, recorded_at TIMESTAMP",
+    "schedules": "schedule_id STRING, spec STRING, checksum STRING, starts_at TIMESTAMP, interval_seconds LONG, actor STRING",
+    "schedule_events": "schedule_id STRING, seq LONG, action STRING, actor STRING, reason STRING, recorded_at TIMESTAMP",
+    "generations": "schedule_id STRING, due_at TIMESTAMP, plan_id STRING, tasks_generated LONG, generation_complete BOOLEAN",
+    "policies": "policy_ref STRING, checksum STRING, body STRING, recorded_at TIMESTAMP",
+    "revocations": "policy_ref STRING, actor STRING, reason STRING, recorded_at TIMESTAMP",
+    "plans": "plan_id STRING, total_tasks LONG, offset LONG, next_offset LONG, recorded_at TIMESTAMP",
+    "tasks": "task_key STRING, plan_id STRING, payload STRING, status STRING, reason STRING, not_before DOUBLE, channel_page INT, max_pages INT, deferred BOOLEAN",
 }
 #: Parts of a table that is only added to, before they are joined.
 MOST_PARTS = 64

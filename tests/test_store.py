@@ -149,3 +149,53 @@ def test_schedules_plans_and_views(spark):
     assert [r.item_id for r in inventory.listed(view, ["FR"], ["car", "lcv"], sort=[("updated_at", True)]).collect()] == [3, 1, 4]
     assert inventory.listed(view, updated_after=F.lit(6)).count() == 2
     assert evidence.technology_claims(spark.createDataFrame([(1, "https://a.example.com/")], "page_id long, origin string"), spark.createDataFrame([(1, [("cms", "X")], [("https://a.example.com/stock", "a[1]", "r")], "unknown")], "page_id long, detections array<struct<category: string, name: string>>, inventory_surfaces array<struct<locator: string, selector: string, rule: string>>, dynamic_rendering_required string")).count() == 2
+
+
+def test_schedules_policies_and_work(spark, tmp_path):
+    from sparrowgrid import agenda
+
+    store = Store(spark, str(tmp_path / "a"))
+    spec = {"schedule_id": "s1", "profiles": [], "localities": [], "starts_at": "2026-01-01T00:00:00Z", "interval_seconds": 86400}
+    assert agenda.register_schedule(store, spec, "me", at(1))["created"] and not agenda.register_schedule(store, spec, "you", at(2))["created"]
+    with pytest.raises(agenda.Conflict):
+        agenda.register_schedule(store, spec | {"interval_seconds": 60}, "me", at(2))
+    for bad in ({"interval_seconds": 0}, {"interval_seconds": True}, {"schedule_id": "-"}, {"starts_at": "2026-01-01T00:00:00"}, {"more": 1}):
+        with pytest.raises(ValueError):
+            agenda.register_schedule(store, spec | {"schedule_id": "s2"} | bad, "me", at(2))
+    assert agenda.due(store, at(3)).count() == 3
+    windows = agenda.due(store, at(2)).select("schedule_id", "due_at", F.lit("p").alias("plan_id"), F.lit(5).cast("long").alias("tasks_generated"), F.lit(True).alias("generation_complete"))
+    agenda.generated(store, windows)
+    assert agenda.due(store, at(3)).count() == 1
+    agenda.set_paused(store, "s1", True, "me", "review", at(3))
+    assert agenda.due(store, at(9)).count() == 0 and agenda.inspect(store).first().paused
+    agenda.set_paused(store, "s1", False, "me", "go on", at(4))
+    assert agenda.due(store, at(3)).count() == 1 and [r.action for r in store.table("schedule_events").orderBy("seq").collect()] == ["registered", "paused", "resumed"]
+    with pytest.raises(agenda.Conflict):
+        agenda.set_paused(store, "none", True, "me", "x", at(4))
+    ref = agenda.register_policy(store, "p1", {"hosts": ["a.example.com"]}, at(1))
+    agenda.register_policy(store, "p1", {"hosts": ["a.example.com"]}, at(2))
+    with pytest.raises(agenda.Conflict):
+        agenda.register_policy(store, "p1", {"hosts": []}, at(2))
+    asked = spark.createDataFrame([("p1", ref["checksum"]), ("p1", "x"), ("p2", "x")], "policy_ref string, checksum string")
+    assert [r.fault for r in agenda.check_policies(store, asked).orderBy("policy_ref", F.desc("checksum")).collect()].count(None) == 1
+    agenda.revoke_policy(store, "p1", "me", "ended", at(5))
+    assert {r.fault for r in agenda.check_policies(store, asked).collect()} == {"revoked_policy", "changed_policy", "unknown_policy"}
+    with pytest.raises(agenda.Conflict):
+        agenda.register_policy(store, "p1", {"hosts": ["a.example.com"]}, at(6))
+    tasks = spark.createDataFrame([(f"t{k}", "{}", ["pending", "blocked", "partial"][k % 3], k >= 4) for k in range(8)], "task_key string, payload string, status string, deferred boolean")
+    assert agenda.save_plan(store, "plan", 8, 0, None, tasks, at(1)).count() == 0 and agenda.save_plan(store, "plan", 8, 0, None, tasks, at(1)).count() == 0
+    assert store.table("tasks").count() == 8 and store.table("plans").count() == 2
+    assert agenda.save_plan(store, "plan", 8, 0, None, tasks.withColumn("payload", F.lit("other")), at(1)).count() == 8
+    agenda.requeue(store, ["t0", "t1", "t2"], "again")
+    assert {r.task_key: r.status for r in store.table("tasks").collect()} == {f"t{k}": "pending" if k < 3 or k % 3 == 0 else ["", "blocked", "partial"][k % 3] for k in range(8)}
+    assert agenda.release(store, 3) == 3 and store.table("tasks").filter("deferred").count() == 1
+
+
+def test_tables_that_are_added_to_have_parts(spark, tmp_path, monkeypatch):
+    import sparrowgrid.store as module
+
+    monkeypatch.setattr(module, "MOST_PARTS", 3)
+    store = Store(spark, str(tmp_path / "p"))
+    for k in range(5):
+        store.commit({}, {"log": spark.createDataFrame([("k", str(k))], "kind string, entity string").withColumn("recorded_at", at(1))})
+    assert sorted(r.entity for r in store.table("log").collect()) == list("01234") and len(store.versions()[1]["log"]) == 2
