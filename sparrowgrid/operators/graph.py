@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _ready(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sparrowgrid-"))
+from ..folders import ready
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -18,7 +13,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Labels take the minimum over neighbours, then jump to their label's label, until a round changes nothing.
     """
-    _ready(edges.sparkSession)
+    ready(edges.sparkSession)
     both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).unionAll(edges.select(F.col(b).alias("u"), F.col(a).alias("v"))).filter("u is not null and v is not null").distinct().checkpoint()
     labels = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("component")).withColumnRenamed("u", "node").checkpoint()
     while True:
@@ -44,7 +39,7 @@ def chain_terminals(nodes: DataFrame, step: DataFrame, key: str = "node", target
 
     Pointers double each round, so a chain of n steps takes log2(n) joins.
     """
-    _ready(nodes.sparkSession)
+    ready(nodes.sparkSession)
     now = nodes.select(F.col(key).alias("node")).join(step.select(F.col(key).alias("node"), F.col(target).alias("at")), "node", "left")
     now = now.select("node", F.coalesce("at", "node").alias("at"), F.when(F.col("at").isNull(), F.lit(0)).otherwise(F.lit(1)).cast("long").alias("length")).checkpoint()
     span = 1
@@ -114,7 +109,7 @@ def expand_frontier(seeds: DataFrame, links: DataFrame, max_depth: int, max_chil
     """url, depth of what is reached over links (source, target) within max_depth, each url once, at most max_children new ones (by url) for each source."""
     from pyspark.sql import Window
 
-    _ready(seeds.sparkSession)
+    ready(seeds.sparkSession)
     seen = seeds.select("url", F.lit(0).alias("depth")).distinct().checkpoint()
     edge = seen
     for depth in range(1, max_depth + 1):

@@ -2,20 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..folders import fresh as shared_path
 from ..operators import presence
 
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new folder under the one that driver and executors share."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sparrowgrid-"))
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+#: Buckets of keys in a ledger: a batch reads those that it touches.
+BUCKETS = 64
 
 
 def read(spark: SparkSession, path: str, time: str = "ts", files: int = 1) -> DataFrame:
@@ -75,11 +69,15 @@ def presence_ledger(stream: DataFrame, key: str, cadence: int) -> DataFrame:
     path = shared_path(spark, "presence")
     names = [key, *presence.EVENT]
 
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
     def apply(batch: DataFrame, batch_id: int) -> None:
-        batch.select(*names).write.mode("overwrite").parquet(f"{path}/ledger/batch={batch_id}")
-        ledger = spark.read.parquet(*[f"{path}/ledger/batch={k}" for k in range(batch_id + 1)]).select(*names)
-        touched = ledger.join(batch.select(key).distinct(), key, "left_semi")
-        presence.states(touched, key, F.lit(cadence)).withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/states/batch_id={batch_id}")
+        batch.select(*names, bucket.alias("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/ledger/batch={batch_id}")
+        # At most BUCKETS numbers; the folders of other buckets are not read.
+        touched = [r[0] for r in batch.select(bucket).distinct().collect()]
+        ledger = spark.read.parquet(f"{path}/ledger").filter((F.col("batch") <= batch_id) & F.col("bucket").isin(touched)).select(*names) if touched else batch.select(*names)
+        states = presence.states(ledger.join(batch.select(key).distinct(), key, "left_semi"), key, F.lit(cadence))
+        states.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/states/batch_id={batch_id}")
 
     stream.writeStream.foreachBatch(apply).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     found = spark.read.parquet(f"{path}/states")
