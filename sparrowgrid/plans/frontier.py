@@ -158,7 +158,13 @@ def due_windows(spark, d):
     return found.groupBy("schedule_id").agg(F.count("*").alias("windows"), F.max("due_at").cast("timestamp_ntz").alias("last_due"))
 
 
-@query("schedule_shares")
+@query("schedule_shares", """
+    WITH RECURSIVE d AS (SELECT s_suppkey AS schedule_id, s_suppkey % 9 * 3 AS size, row_number() OVER (ORDER BY s_suppkey % 4, s_nationkey, s_suppkey) AS n FROM supplier),
+    w(n, rest, schedule_id, given) AS (
+        SELECT 0::BIGINT, 100::BIGINT, NULL::BIGINT, 0::BIGINT
+        UNION ALL SELECT d.n, rest - g, d.schedule_id, g FROM (SELECT w.*, least((SELECT count(*) FROM d), 8) - w.n AS turns FROM w) w JOIN d ON d.n = w.n + 1, LATERAL (SELECT CASE WHEN rest > 0 THEN least(d.size, greatest(1, rest // turns)) ELSE 0 END::BIGINT AS g) WHERE d.n <= 8
+    ) SELECT (n - 1)::INTEGER AS turn, schedule_id, given FROM w WHERE n > 0
+""")
 def schedule_shares(spark, d):
     due = table(spark, d, "supplier").select(F.col("s_suppkey").alias("schedule_id"), (F.col("s_suppkey") % 4).alias("last_tick"), F.col("s_nationkey").alias("next_at"), (F.col("s_suppkey") % 9 * 3).alias("size"))
     return planner.shares(due, 100, 8)
