@@ -85,15 +85,19 @@ def constrained_clusters(edges: DataFrame, cannot: DataFrame, order: list[str])
         import pandas as pd
 
         pdf = pdf.sort_values("_nth")
-        barred = [(x.a, x.b) for x in pdf[pdf.barred].itertuples()]
+        # What a node must not meet; a merge looks at the smaller side's only.
+        bars: dict = {}
+        for x in pdf[pdf.barred].itertuples():
+            bars.setdefault(x.a, set()).add(x.b)
+            bars.setdefault(x.b, set()).add(x.a)
         group: dict = {}
         for x in pdf[~pdf.barred].itertuples():
-            p, q = group.setdefault(x.a, {x.a}), group.setdefault(x.b, {x.b})
-            if p is q or any((s in p and t in q) or (s in q and t in p) for s, t in barred):
+            p, q = sorted((group.setdefault(x.a, {x.a}), group.setdefault(x.b, {x.b})), key=len)
+            if p is q or any(not q.isdisjoint(bars[v]) for v in p if v in bars):
                 continue
-            p |= q
-            for v in q:
-                group[v] = p
+            q |= p
+            for v in p:
+                group[v] = q
         return pd.DataFrame({"node": list(group), "cluster": [min(g) for g in group.values()]})
 
     return easy.unionAll(work.unionByName(bars).groupBy("component").applyInPandas(merge, f"node {kind}, cluster {kind}"))

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from . import order
 
 
+#: Fixed value: the longest page.
+MOST_PAGE = 1_000_000
+
+
 def round_robin(items: DataFrame, lane: str, index: str) -> DataFrame:
     """items with ``ordinal`` (from 0): first items of all lanes, then the second ones, in lane order.
 
@@ -27,9 +31,11 @@ def consumed(lengths: Column, rounds: Column) -> Column:
 def round_robin_page(lanes: DataFrame, lane: str, length: str, offset: int, limit: int) -> DataFrame:
     """lane, index, ordinal of items [offset, offset + limit) of the round robin, without building those before.
 
-    Only the table of lanes is read: the items of complete rounds are a sum of minima, and the page's first and last round come from the
+    limit is at most ``MOST_PAGE``. Only the table of lanes is read: the items of complete rounds are a sum of minima, and the page's first and last round come from the
     distinct lengths. Then just the rounds of the page are laid out.
     """
+    if not 0 < limit <= MOST_PAGE:
+        raise ValueError(f"a page has 1 to {MOST_PAGE} items")
     # Up to each length: how many lanes end there, so how many items all rounds up to it have.
     steps = lanes.filter(F.col(length) > 0).groupBy(F.col(length).alias("upto")).agg(F.count("*").alias("ends"))
     w = Window.orderBy("upto")
@@ -43,7 +49,7 @@ def round_robin_page(lanes: DataFrame, lane: str, length: str, offset: int, limi
     last = F.least(F.col("upto") - 1, F.col("low") + F.expr(f"cast(({end - 1} - start) div alive as bigint)"))
     touched = steps.filter((F.col("start") < end) & (F.col("start") + F.col("alive") * (F.col("upto") - F.col("low")) > offset)).select("*", first.alias("_first"), last.alias("_last")).filter("_first <= _last")
     rounds = touched.select("start", "alive", "low", F.explode(F.sequence("_first", "_last")).alias("index")).select("index", (F.col("start") + F.col("alive") * (F.col("index") - F.col("low"))).alias("_before"))
-    # The page has at most limit / alive + 1 rounds of each kind.
+    # The page has at most limit / alive + 1 rounds of each kind, so at most MOST_PAGE rows of two numbers are sent along.
     placed = lanes.select(lane, length).crossJoin(F.broadcast(rounds)).filter(F.col(length) > F.col("index"))
     placed = placed.withColumn("ordinal", F.col("_before") + F.row_number().over(Window.partitionBy("index").orderBy(lane)) - 1)
     return placed.filter((F.col("ordinal") >= offset) & (F.col("ordinal") < end)).select(lane, "index", "ordinal")

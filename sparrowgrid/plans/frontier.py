@@ -35,7 +35,7 @@ def round_robin_page(spark, d):
 """)
 def frontier_size(spark, d):
     places = table(spark, d, "region").agg(F.count("*").alias("places"))
-    rows = table(spark, d, "supplier").crossJoin(F.broadcast(places)).select(F.col("s_nationkey").alias("country"), F.lit(1).alias("seeds"), "places", (F.col("s_suppkey") % 4).alias("queries"))
+    rows = table(spark, d, "supplier").crossJoin(places).select(F.col("s_nationkey").alias("country"), F.lit(1).alias("seeds"), "places", (F.col("s_suppkey") % 4).alias("queries"))
     return planner.frontier_size(rows, "country", "seeds", "places", "queries")
 
 
@@ -46,7 +46,7 @@ def frontier_size(spark, d):
 def cross_frontier(spark, d):
     """A frontier is a product of small vocabularies by definition."""
     kinds, classes = table(spark, d, "part").select("p_type").distinct(), table(spark, d, "customer").select("c_mktsegment").distinct()
-    rows = table(spark, d, "region").crossJoin(F.broadcast(kinds)).crossJoin(F.broadcast(classes))
+    rows = table(spark, d, "region").crossJoin(kinds).crossJoin(classes)
     return rows.select("r_regionkey", "p_type", "c_mktsegment", F.sha2(canonical.canonical_array(F.col("r_name"), F.col("p_type"), F.col("c_mktsegment")), 256).alias("task_key"))
 
 

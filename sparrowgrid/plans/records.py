@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from ..functions import canonical, urls
-from ..operators import changefeed, coverage, estimation, evidence, graph, inventory, planner, presence, queue
+from ..operators import acquisition, changefeed, coverage, estimation, evidence, graph, inventory, planner, presence, queue
 from ..sources import channels, documents, exchange, geography, robots
 from .registry import query, table
 
@@ -241,6 +241,38 @@ def planted_claims(spark, d):
     return documents.parse(pages).select("page_id", "locator", "kind", "relation", "label")
 
 
+@query("child_expansion", """
+    SELECT s_suppkey AS page_id, 'https://' || host || '/' || path AS locator, 2 AS depth, 'web:' || host AS evidence_group, 'link:' || sha256('["plan","links","https://' || host || '/' || path || '"]') AS task_key
+    FROM (SELECT s_suppkey, 'd.example.com' AS host, 'stock' AS path FROM supplier UNION ALL SELECT s_suppkey, 'o' || s_suppkey || '.example.org', 'all' FROM supplier)
+""")
+def child_expansion(spark, d):
+    """The links of a page that are worth a visit: not itself, no details, parts or assets, each once."""
+    other = F.concat(F.lit("<a href='https://o"), F.col("s_suppkey"), F.lit(".example.org/all'>other</a>"))
+    html = F.concat(F.lit("<a href='/stock'>cars</a><a href='/stock'>again</a><a href='/car/1'>one</a><a href='/logo.png'>x</a><a href='/parts'>Parts</a><a href='/'>self</a>"), other)
+    pages = table(spark, d, "supplier").select(F.col("s_suppkey").alias("page_id"), F.lit("https://d.example.com/").alias("origin"), F.lit("text/html").alias("content_type"), F.encode(html, "UTF-8").alias("body"))
+    visits = pages.select("page_id", F.lit("plan").alias("plan_id"), F.lit("links").alias("strategy"), F.col("origin").alias("locator"), F.lit(1).alias("depth"))
+    return documents.children_of(documents.parse(pages), visits)
+
+
+@query("scope_subsets", """
+    SELECT p_partkey, p_partkey % 3 <> 1 AS inside FROM part
+""")
+def scope_subsets(spark, d):
+    """Whether a scope lies within another; a class twice is one class."""
+    k = F.col("p_partkey") % 3
+    small = F.when(k == 0, F.array(F.lit("car"), F.lit("car"))).when(k == 1, F.array(F.lit("car"), F.lit("boat"))).otherwise(F.array().cast("array<string>"))
+    return table(spark, d, "part").select("p_partkey", acquisition.within(small, F.array(F.lit("lcv"), F.lit("car"))).alias("inside"))
+
+
+@query("listing_grain", """
+    SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag IN ('A', 'R') AND l_linestatus IN ('F') AND l_shipdate > TIMESTAMP '1998-06-01'
+""")
+def listing_grain(spark, d):
+    """The filters of a listing view at the grain of single listings."""
+    rows = table(spark, d, "lineitem").withColumns({"item_id": F.col("l_orderkey") * 8 + F.col("l_linenumber"), "market_country": F.col("l_returnflag"), "vehicle_class": F.col("l_linestatus"), "updated_at": F.col("l_shipdate")})
+    return inventory.listed(rows, ["A", "R"], ["F"], updated_after=F.lit("1998-06-01 00:00:00").cast("timestamp_ntz"), sort=[("l_quantity", True)]).select("l_orderkey", "l_linenumber")
+
+
 def _said(spark, d):
     classes = F.element_at(F.array(F.array(F.lit("car"), F.lit("boat")), F.array(F.lit("lcv"), F.lit("car"), F.lit("car")), F.array().cast("array<string>")), (F.col("s_suppkey") % 3 + 1).cast("int"))
     country = F.element_at(F.array(F.lit("FR"), F.lit("fr"), F.lit("DEU")), (F.col("s_nationkey") % 3 + 1).cast("int"))
