@@ -86,8 +86,11 @@ def tree(rows: DataFrame, written: list[str] | None = None) -> list[DataFrame]:
     return levels
 
 
-def differing(a: list[DataFrame], b: list[DataFrame], compared: list[int] | None = None) -> DataFrame:
-    """archive, part, node of the places that differ, found from the roots down. compared: gets how many nodes were compared on each level."""
+def differing(a: list[DataFrame], b: list[DataFrame], compared: list[int] | None = None, written: list[str] | None = None) -> DataFrame:
+    """archive, part, node of the places that differ, found from the roots down. compared: gets how many nodes were compared on each level.
+
+    What differs on a level is stored: it is read for both replicas on the next, so a plan of all levels would double with each.
+    """
     bad: DataFrame | None = None
     for x, y in zip(reversed(a), reversed(b)):
         if bad is not None:
@@ -96,20 +99,27 @@ def differing(a: list[DataFrame], b: list[DataFrame], compared: list[int] | None
         met = x.select(*PLACE, "node", F.struct("length", "digest").alias("_a")).join(y.select(*PLACE, "node", F.struct("length", "digest").alias("_b")), [*PLACE, "node"], "full_outer")
         if compared is not None:
             compared.append(met.count())
-        bad = met.filter(~F.col("_a").eqNullSafe(F.col("_b"))).select(*PLACE, "node")
+        bad = through_parquet(met.filter(~F.col("_a").eqNullSafe(F.col("_b"))).select(*PLACE, "node"), "differing", written)
     return bad
 
 
 def audit(a: DataFrame, b: DataFrame, compared: list[int] | None = None) -> DataFrame:
     """archive, part, seq, begin, end, page_id, digest (a's, else b's) and kind (changed, missing from b, extra in b) of all records of two ``records`` that differ."""
+    mine: list[str] = []
+    out = _audit(through_parquet(a, "records", mine), through_parquet(b, "records", mine), compared)
+    discard(a.sparkSession, mine)
+    return out
+
+
+def _audit(a: DataFrame, b: DataFrame, compared: list[int] | None = None) -> DataFrame:
+    """``audit`` of stored records."""
     spark = ready(a.sparkSession)
     mine: list[str] = []
-    a, b = through_parquet(a, "records", mine), through_parquet(b, "records", mine)
-    bad = differing(tree(a, mine), tree(b, mine), compared).withColumnRenamed("node", "place")
+    bad = differing(tree(a, mine), tree(b, mine), compared, mine).withColumnRenamed("node", "place")
     place = [*PLACE, "place"]
     # Equal records are matched one by one; of the others, those of one identity in order.
     nth = lambda t, *by: t.withColumn("_nth", F.row_number().over(Window.partitionBy(*place, *by).orderBy("seq")))
-    x, y = (nth(t.join(bad, place, "left_semi"), "digest") for t in (a, b))
+    x, y = (through_parquet(nth(t.join(bad, place, "left_semi"), "digest"), "damaged", mine) for t in (a, b))
     same = [*place, "digest", "_nth"]
     x, y = (nth(t.join(other.select(*same), same, "left_anti").drop("_nth"), "identity") for t, other in ((x, y), (y, x)))
     held = F.struct("page_id", "seq", "begin", "end", "digest")
@@ -132,9 +142,11 @@ def decayed(pages: DataFrame) -> DataFrame:
 
 def audited(pages: DataFrame, replica: DataFrame) -> DataFrame:
     """Every record of pages and what became of it in the replica, and the replica's extra ones: page_id, archive, part, seq, begin, end, digest, kind (intact, changed, missing, extra)."""
-    parted = large(pages, replica)
-    own = records(pages, parted=parted)
-    found = audit(own, records(replica, parted=parted))
+    mine: list[str] = []
+    parted = through_parquet(large(pages, replica), "parted", mine)
+    own = through_parquet(records(pages, parted=parted), "records")
+    found = _audit(own, through_parquet(records(replica, parted=parted), "records", mine))
+    discard(pages.sparkSession, mine)
     names = ["page_id", *PLACE, "seq", "begin", "end", "digest"]
     marks = found.filter("kind <> 'extra'").select(*PLACE, "seq", "kind")
     out = own.select(*names).join(marks, [*PLACE, "seq"], "left").select(*names, F.coalesce("kind", F.lit("intact")).alias("kind"))

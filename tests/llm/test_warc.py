@@ -54,6 +54,20 @@ def test_the_descent_follows_the_damage(spark):
     assert compared[0] == 4 and all(n <= warc.FANOUT for n in compared[1:]) and len(compared) == warc.HEIGHT + 1
 
 
+def test_plans_do_not_double_with_the_levels(spark, monkeypatch):
+    joins: list[int] = []
+    count = lambda df: str(df._jdf.queryExecution().optimizedPlan()).count("Join ")
+
+    def seen(df, *rest, write=warc.through_parquet):
+        joins.append(count(df))
+        return write(df, *rest)
+
+    monkeypatch.setattr(warc, "through_parquet", seen)
+    a = pages(spark, [(k, f"u{k}", f"text {k}") for k in range(300)])
+    out = warc.audited(a, warc.decayed(a))
+    assert out.count() >= 300 and max([*joins, count(out)]) <= 3
+
+
 def test_roots_by_hand(spark):
     leaves = warc.records(pages(spark, [(k, "u", "x" * k) for k in range(40)]))
     rows = leaves.orderBy("seq").collect()
