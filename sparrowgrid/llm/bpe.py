@@ -17,7 +17,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice, pairwise
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -26,9 +26,31 @@ from pyspark.sql import functions as F
 _INF = np.int64(1) << np.int64(62)
 #: Pretokens of up to so many bytes are merged by rows; it only decides how the same tree is held.
 ROW_BYTES = 64
-#: Pretokens remembered by a Python worker.
+#: Pretokens remembered by a Python worker, but for those of the texts in hand.
 REMEMBERED = 250_000
 
+#: Pretokens or ids whose ids or bytes are looked up at once.
+SPANS = 1 << 18
+
+
+class _Places(dict):
+    """Places of pretokens in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = place = len(self)
+        return place
+
+
+def _taken(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """What stands in the given spans of values, one span after another: some spans at a time, so that a very long text takes little more."""
+    out, at = np.empty(int(size.sum()), values.dtype), 0
+    for k in range(0, len(size), SPANS):
+        s, n = start[k : k + SPANS], size[k : k + SPANS]
+        end = np.cumsum(n)
+        out[at : at + int(end[-1])] = values[np.arange(int(end[-1])) + np.repeat(s - (end - n), n)]
+        at += int(end[-1])
+    return out
+
 
 def _byte_letters() -> dict[str, int]:
     """The letters that stand for bytes in the vocabulary file: printable ones for themselves, the rest from 256 on."""
@@ -78,7 +100,16 @@ class Bpe:
         # White space as the Unicode property; regex's own \s is wider by the separators U+001C to U+001F.
         s = r"\p{White_Space}"
         self.pattern = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{s}\p{{L}}\p{{N}}]+|{s}+(?!\P{{White_Space}})|{s}+")
-        self.known: dict[str, tuple[int, ...]] = {}
+        most = max(self.bytes_of) + 1
+        self.size_of = np.array([len(self.bytes_of.get(i, b"")) for i in range(most)], np.int64)
+        self.begin_of = np.cumsum(self.size_of) - self.size_of
+        self.all_bytes = np.frombuffer(b"".join(self.bytes_of.get(i, b"") for i in range(most)), np.uint8)
+        self.forget()
+
+    def forget(self) -> None:
+        """No pretoken is remembered: places of pretokens, and by place where their ids begin and how many there are."""
+        self.known, self.ids_of = _Places(), np.zeros(0, np.int32)
+        self.first_of = self.count_of = np.zeros(0, np.int64)
 
     def _leaf(self, a: np.ndarray, b: np.ndarray, at: np.ndarray) -> np.ndarray:
         key = a << 20 | b
@@ -203,31 +234,40 @@ class Bpe:
     def pretokens(self, text: str) -> list[str]:
         return self.pattern.findall(text)
 
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one text after another, and the texts' offsets into them; what is new is merged together."""
+        if len(self.known) > REMEMBERED:
+            self.forget()
+        before, ends, found = len(self.known), [0], []
+        for t in texts:
+            parts = self.special_pattern.split(t) if self.special_pattern and any(x in t for x in self.special) else (t,)
+            for k, p in enumerate(parts):
+                # A special token is no pretoken: texts are parted at all of them.
+                found.append(self.pretokens(p) if k % 2 == 0 else (p,))
+            ends.append(ends[-1] + sum(map(len, found[-len(parts) :])))
+        place = np.fromiter(map(self.known.__getitem__, chain.from_iterable(found)), np.int64, ends[-1])
+        fresh = [*islice(self.known, before, None)]
+        if fresh:
+            ids = self.encode_words([b"" if w in self.special else w.encode() for w in fresh])
+            ids = [(self.special[w],) if w in self.special else x for w, x in zip(fresh, ids)]
+            count = np.fromiter(map(len, ids), np.int64, len(ids))
+            self.first_of = np.concatenate([self.first_of, len(self.ids_of) + np.cumsum(count) - count])
+            self.count_of = np.concatenate([self.count_of, count])
+            self.ids_of = np.concatenate([self.ids_of, np.fromiter(chain.from_iterable(ids), np.int32, int(count.sum()))])
+        count = self.count_of[place]
+        return _taken(self.ids_of, self.first_of[place], count), np.concatenate([[0], np.cumsum(count)])[ends]
+
     def encode_batch(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text; what is new in the batch is merged together."""
-        parts = [self.special_pattern.split(t) if self.special_pattern and any(x in t for x in self.special) else (t,) for t in texts]
-        found = [[(self.pretokens(p) if k % 2 == 0 else p) for k, p in enumerate(ps)] for ps in parts]
-        new: set[str] = set()
-        for ps in found:
-            for k in range(0, len(ps), 2):
-                new.update(ps[k])
-        new -= self.known.keys()
-        if new:
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known = {}
-                new = {w for ps in found for k in range(0, len(ps), 2) for w in ps[k]}
-            fresh = [*new]
-            self.known.update(zip(fresh, self.encode_words([w.encode() for w in fresh])))
-        known, out = self.known, []
-        for ps in found:
-            ids: list[int] = []
-            for k, p in enumerate(ps):
-                if k % 2:
-                    ids.append(self.special[p])
-                else:
-                    ids += chain.from_iterable(map(known.__getitem__, p))
-            out.append(ids)
-        return out
+        """Ids of each text."""
+        ids, ends = self.encode_flat(texts)
+        ids = ids.tolist()
+        return [ids[a:b] for a, b in pairwise(ends.tolist())]
+
+    def decode_flat(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """Texts of the ids between offsets."""
+        size = self.size_of[ids]
+        held = _taken(self.all_bytes, self.begin_of[ids], size).tobytes()
+        return [held[a:b].decode("utf-8", "replace") for a, b in pairwise(np.concatenate([[0], np.cumsum(size)])[ends].tolist())]
 
     def encode(self, text: str) -> list[int]:
         return self.encode_batch([text])[0]
@@ -270,16 +310,14 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", keep:
             rest = batch.select(names)
             at = 0
             for part in _batches(texts):
-                found = bpe.encode_batch(part)
-                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                values = np.fromiter(chain.from_iterable(found), np.int32, int(ends[-1]))
-                columns = [pa.ListArray.from_arrays(pa.array(ends), pa.array(values))]
+                values, ends = bpe.encode_flat(part)
+                columns = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))]
                 if decoded:
-                    columns.append(pa.array(map(bpe.decode, found), pa.string()))
+                    columns.append(pa.array(bpe.decode_flat(values, ends), pa.string()))
                 yield pa.RecordBatch.from_arrays([*rest.slice(at, len(part)).columns, *columns], [*names, *extra])
                 at += len(part)
         # A worker goes on to other stages: what this task remembered is not kept in their memory.
-        bpe.known = {}
+        bpe.forget()
 
     return source.mapInArrow(run, schema)
 

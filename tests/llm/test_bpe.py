@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pytest
 
 from conftest import DATA
@@ -29,6 +30,22 @@ def test_encodes_as_the_library(library):
         assert model.decode(ids) == library.decode(ids, skip_special_tokens=False) == text
 
 
+def test_texts_are_encoded_together(library, monkeypatch):
+    model, ids = bpe.Bpe(bpe_path()), [library.encode(text, add_special_tokens=False).ids for text in TEXTS]
+    monkeypatch.setattr(bpe, "SPANS", 7)
+    # The second time a few pretokens are remembered, the third time all are forgotten first.
+    for most in (250_000, 250_000, 3):
+        monkeypatch.setattr(bpe, "REMEMBERED", most)
+        found, ends = model.encode_flat(TEXTS)
+        assert [found[a:b].tolist() for a, b in zip(ends, ends[1:])] == ids
+        assert model.decode_flat(found, ends) == TEXTS
+    # Ids that break a character are decoded text by text, as the library does.
+    odd = [x[k : k + 3] for x in ids for k in range(min(len(x), 60))]
+    ends = np.cumsum([0, *map(len, odd)])
+    assert model.decode_flat(np.concatenate(odd), ends) == [model.decode(x) for x in odd] == [library.decode(x, skip_special_tokens=False) for x in odd]
+    assert model.encode_flat([])[0].size == 0
+
+
 def test_rows_and_single_trees_agree():
     model = bpe.Bpe(bpe_path())
     words = [w.encode() for w in ("Thtionwh", "enenhastinguish", "aaaaaaaaaaaaaaaaa", "zqxj", "réêou", "1234567890" * 6)]
