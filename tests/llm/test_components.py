@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+from sparrowgrid.llm import components
 from sparrowgrid.llm.components import connected_components
 
 
@@ -26,5 +27,22 @@ def test_components(spark):
     assert found == {v: c for v, c in brute([x for x in links if x[0] != x[1]]).items()}
 
 
+def rounds(monkeypatch, most, df):
+    taken = []
+    star = components._star
+    monkeypatch.setattr(components, "JOINED", most)
+    monkeypatch.setattr(components, "_star", lambda *a: taken.append(1) or star(*a))
+    return {r.node: r.component for r in connected_components(df).collect()}, len(taken) // 2
+
+
+def test_links_that_are_joined_at_once_take_no_round(spark, monkeypatch):
+    chain = [(k, k + 1) for k in range(500)] + [(3000 - k, 2999 - k) for k in range(500)]
+    random.Random(3).shuffle(chain)
+    df = spark.createDataFrame(chain, "a long, b long").coalesce(1)
+    assert rounds(monkeypatch, 1 << 20, df) == (brute(chain), 0)
+    found, taken = rounds(monkeypatch, 7, df)
+    assert found == brute(chain) and taken > 1
+
+
 def test_no_links(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
