@@ -23,6 +23,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import give_back
+
 _INF = np.int64(1) << np.int64(62)
 #: Pretokens of up to so many bytes are merged by rows; it only decides how the same tree is held.
 ROW_BYTES = 64
@@ -301,10 +303,9 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", keep:
     source = df.select(*dict.fromkeys([*names, text]))
     schema = ", ".join([*(f"`{c}` {t}" for c, t in source.select(*names).dtypes), f"`{ids}` array<int>", *([f"`{decoded}` string"] if decoded else [])])
 
-    def run(batches):
+    def encoded(bpe, batches):
         import pyarrow as pa
 
-        bpe = vocabulary(path)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
             rest = batch.select(names)
@@ -316,8 +317,13 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", keep:
                     columns.append(pa.array(bpe.decode_flat(values, ends), pa.string()))
                 yield pa.RecordBatch.from_arrays([*rest.slice(at, len(part)).columns, *columns], [*names, *extra])
                 at += len(part)
+
+    def run(batches):
+        bpe = vocabulary(path)
+        yield from encoded(bpe, batches)
         # A worker goes on to other stages: what this task remembered is not kept in their memory.
         bpe.forget()
+        give_back()
 
     return source.mapInArrow(run, schema)
 

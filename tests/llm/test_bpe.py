@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import hashlib
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -84,3 +87,19 @@ def test_other_settings_are_refused(tmp_path):
         (tmp_path / "odd.json").write_text(json.dumps(spec | change))
         with pytest.raises(ValueError):
             Bpe(str(tmp_path / "odd.json"))
+
+
+def test_what_a_worker_has_freed_goes_back():
+    """In a process of its own: half a gigabyte is freed below a block that stays."""
+    code = """
+import re
+from sparrowgrid.llm.shared import give_back
+held = lambda: sum(map(int, re.findall(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())))
+blocks = [bytes(1000 + k % 7) for k in range(500_000)]
+last = bytes(2000)
+del blocks
+before = held()
+give_back()
+assert before - held() > 300_000, (before, held())
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parents[2], timeout=60)

@@ -44,5 +44,17 @@ def test_links_that_are_joined_at_once_take_no_round(spark, monkeypatch):
     assert found == brute(chain) and taken > 1
 
 
+def test_few_links_of_many_partitions_take_no_round(spark, monkeypatch):
+    chain = [(k, k + 1) for k in range(500)] + [(9000, 9001 + k) for k in range(100)]
+    random.Random(4).shuffle(chain)
+    df = spark.createDataFrame(chain, "a long, b long")
+    # As on large inputs: Spark leaves the partitions as they are.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert rounds(monkeypatch, 600, df) == (brute(chain), 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_no_links(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
