@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sparrowgrid.operators import capacity, changefeed, coverage, estimation, evidence, graph, inventory, planner, presence, queue
+from sparrowgrid.operators import capacity, changefeed, coverage, estimation, evidence, graph, inventory, order, planner, presence, queue
 from sparrowgrid.streaming import leases
 
 
@@ -242,3 +242,18 @@ def test_relations_are_refused_with_reasons(spark):
     rows = [("c1", "c2", "operates", "e1", "a"), ("c1", "c1", "operates", "e1", "a"), ("c1", "c3", "operates", "e1", "a"), ("c1", "c2", "likes", "e1", "a"), ("c1", "c2", "operates", "e2", "a")]
     ok, wrong = evidence.relate(spark.createDataFrame(rows, "source_id string, target_id string, kind string, evidence_id string, actor string"), facts, people, now)
     assert ok.count() == 1 and {r.fault for r in wrong.collect()} == {"distinct_candidates_and_actor_required", "candidate_not_live", "unknown_kind", "evidence_not_available"}
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 3, 5, 16, 200])
+def test_order_by_ranges(spark, ranges):
+    values = [None, float("-inf"), float("inf")] + [float(k * k % 97) for k in range(300)]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "id long, v double")
+    # A long expression as key: it is evaluated once a row, not for each bound.
+    rows = order.ranked(df.withColumn("k", F.regexp_replace(F.col("v").cast("string"), "x", "").cast("double")), "k", "place", equal=True, ranges=ranges)
+    assert "lambda" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    key = [float("-inf") if v is None else v for v in values]
+    nulls = sum(v is None for v in values)
+    want = {k: 1 if v is None else 1 + nulls + sum(x < v for x, y in zip(key, values) if y is not None) for k, v in enumerate(values)}
+    assert {r.id: r.place for r in rows.collect()} == want
+    sums = order.before(df.filter("v = 4 or id > 290"), "id", "id", "sum", ranges=ranges).collect()
+    assert all(r["sum"] == sum(x.id for x in sums if x.id < r.id) for r in sums)
