@@ -201,6 +201,18 @@ def test_refused_response_is_no_row(spark, tmp_path):
             QUERIES[name](spark, str(tmp_path)).toPandas()
 
 
+def test_inflated_bodies_some_at_a_time():
+    import pyarrow as pa
+
+    from sparrowgrid.plans import records
+
+    html = [f"<p>é{k}" * (20_000 if k % 3 else 1) for k in range(100)] + [""]
+    given = pa.RecordBatch.from_arrays([pa.array(range(101), pa.int64()), pa.array(html)], ["page_id", "html"])
+    out = [*records._inflated([given, given.slice(90)])]
+    assert [x for b in out for x in b.column(1).to_pylist()] == html + html[90:] and [x for b in out for x in b.column(0).to_pylist()] == [*range(101), *range(90, 101)]
+    assert all(x for b in out for x in b.column(2).to_pylist()) and max(b.column(1).nbytes for b in out) < records.INFLATED + 200_000
+
+
 def test_robots():
     text = "User-agent: *\nDisallow: /a\nAllow: /a/b\nCrawl-delay: 3\n\nUser-agent: ourbot\nDisallow: /*.pdf$\nAllow: /x\nDisallow: /x"
     assert [robots.allowed(text, "other/1", "https://e.example.com" + p) for p in ("/a/c", "/a/b/c", "/z")] == [False, True, True]
